@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import bpe, cooccur, copies, packing, spans
+from . import bpe, cooccur, copies, neardup, packing, spans
 
 
 def p1_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,18 @@ def _ledger(spark, sf_dir):
     return copies.CopyLedger(spark).absorb(files).absorb(names), files.union(names)
 
 
+def _near(spark, sf_dir):
+    return neardup.NearDuplicates(neardup.workflow_sources(table(spark, sf_dir, "workflow_json"), table(spark, sf_dir, "workflows")))
+
+
+def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near(spark, sf_dir).groups()
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near(spark, sf_dir).pairs()
+
+
 def p3_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cooccur.scored_pairs(cooccur.node_type_baskets(table(spark, sf_dir, "workflow_json")))
 
@@ -57,7 +69,7 @@ def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_counts, p1_found, p3_pairs, p3_found, p8_ids, p9_pack, p10_found, p10_shares)}
+    return {f.__name__: f for f in (p1_counts, p1_found, p2_groups, p2_found, p3_pairs, p3_found, p8_ids, p9_pack, p10_found, p10_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
