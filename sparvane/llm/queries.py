@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import bpe, cooccur, copies, neardup, packing, spans
+from . import bpe, cooccur, copies, neardup, packing, secrets, spans
 
 
 def p1_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,15 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_pairs(spark, sf_dir).where(often & above).select("type_a", "type_b")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(secrets.parameters(table(spark, sf_dir, "workflow_json")))
+    return found.select("file_id", "node_pos", "param").distinct()
+
+
+def p5_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.redact_files(table(spark, sf_dir, "workflow_json"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -69,7 +78,7 @@ def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_counts, p1_found, p2_groups, p2_found, p3_pairs, p3_found, p8_ids, p9_pack, p10_found, p10_shares)}
+    return {f.__name__: f for f in (p1_counts, p1_found, p2_groups, p2_found, p3_pairs, p3_found, p5_found, p5_redacted, p8_ids, p9_pack, p10_found, p10_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
