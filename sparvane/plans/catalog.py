@@ -1,17 +1,229 @@
-"""Catalog queries: scans, filters, full-text search, statistics."""
+"""Catalog queries: scans, filters, full-text search, statistics, scalar rules."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import codes, text
+from ..operators import catalog, search
 from ..runtime import table
 from .registry import query
 
+_WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 
-@query("""SELECT doc_id, lang, source, n_chars FROM documents
-          WHERE list_contains(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), 'webhooks')""")
-def fts_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    found = table(spark, sf_dir, "documents").where(F.array_contains(tokens, "webhooks"))
-    return found.select("doc_id", "lang", "source", "n_chars")
+
+@query("SELECT count(*) AS n FROM workflows")
+def count_all(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "workflows").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT doc_id, lang, source, n_chars FROM documents WHERE list_contains({_WORDS}, 'webhooks')")
+def fts_search(spark: SparkSession, d: str) -> DataFrame:
+    return search.match_term(table(spark, d, "documents"), "text", "webhooks").select("doc_id", "lang", "source", "n_chars")
+
+
+@query(f"""SELECT doc_id, doc_kind FROM documents WHERE doc_kind IN ('api_doc', 'usage_guide')
+           AND (list_contains({_WORDS}, 'webhooks') OR list_contains({_WORDS}, 'triggers'))""")
+def search_any_term(spark: SparkSession, d: str) -> DataFrame:
+    some = table(spark, d, "documents").where(F.col("doc_kind").isin("api_doc", "usage_guide"))
+    found = F.arrays_overlap(search.tokens(F.col("text")), F.array(F.lit("webhooks"), F.lit("triggers")))
+    return some.where(found).select("doc_id", "doc_kind")
+
+
+@query("""SELECT wf_id, filename, name FROM workflows WHERE trigger_type = 'Webhook' AND complexity = 'medium'
+          ORDER BY wf_id, loaded_at, last_indexed, filename, name LIMIT 20""")
+def filter_and(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "workflows").where((F.col("trigger_type") == "Webhook") & (F.col("complexity") == "medium"))
+    order = [F.col(c).asc_nulls_last() for c in ("wf_id", "loaded_at", "last_indexed", "filename", "name")]
+    return rows.orderBy(*order).limit(20).select("wf_id", "filename", "name")
+
+
+@query("SELECT wf_id, filename, category FROM workflows WHERE category = 'Messaging & Alerts'")
+def filter_category(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "workflows").where(F.col("category") == "Messaging & Alerts").select("wf_id", "filename", "category")
+
+
+@query("SELECT wf_id, filename, name, trigger_type FROM workflows")
+def project_scan(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "workflows").select("wf_id", "filename", "name", "trigger_type")
+
+
+@query("""SELECT count(*) AS total, count(*) FILTER (WHERE active) AS active, count(*) FILTER (WHERE NOT active) AS inactive,
+                 (SELECT count(DISTINCT i) FROM (SELECT unnest(integrations) AS i FROM workflows) WHERE i <> '') AS unique_integrations,
+                 sum(node_count)::BIGINT AS total_nodes, max(last_indexed) AS last_indexed FROM workflows""")
+def stats_summary(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.catalog_stats(table(spark, d, "workflows")).drop("triggers", "complexity")
+
+
+@query("SELECT trigger_type, count(*) AS n FROM workflows WHERE trigger_type IS NOT NULL GROUP BY 1")
+def hist_map(spark: SparkSession, d: str) -> DataFrame:
+    one = catalog.histogram_map(table(spark, d, "workflows"), "trigger_type", "m")
+    return one.select(F.explode("m").alias("trigger_type", "n"))
+
+
+@query("""SELECT wf_id, node_count, CASE WHEN node_count <= 5 THEN 'Simple' WHEN node_count <= 15 THEN 'Moderate'
+                 WHEN node_count IS NOT NULL THEN 'Complex' END AS complexity_class,
+                 CASE WHEN node_count <= 5 THEN '1-5 seconds' WHEN node_count <= 15 THEN '5-30 seconds'
+                 WHEN node_count IS NOT NULL THEN '30+ seconds' END AS time_bucket FROM workflows""")
+def complexity_bucket(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("node_count")
+    rows = table(spark, d, "workflows")
+    return rows.select("wf_id", "node_count", catalog.complexity(n).alias("complexity_class"), catalog.time_bucket(n).alias("time_bucket"))
+
+
+@query("""SELECT file_id, coalesce(name, 'Unnamed') AS name, coalesce(len(nodes), 0)::INT AS n_nodes,
+                 coalesce(name <> '', false) AS has_name, nodes IS NOT NULL AS has_nodes FROM workflow_json""")
+def structure_check(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.validity(table(spark, d, "workflow_json")).select("file_id", "name", "n_nodes", "has_name", "has_nodes")
+
+
+@query("""SELECT repo, count(*) AS total, count(*) FILTER (WHERE coalesce(name <> '', false) AND nodes IS NOT NULL
+                 AND CASE WHEN json_valid(connections) THEN json_type(connections) = 'OBJECT' ELSE false END) AS valid FROM workflow_json GROUP BY repo""")
+def validity_by_group(spark: SparkSession, d: str) -> DataFrame:
+    files = table(spark, d, "workflow_json")
+    return files.select("repo", "file_id").join(catalog.validity(files).select("file_id", "valid"), "file_id").groupBy("repo").agg(
+        F.count("*").alias("total"), F.count_if("valid").alias("valid")
+    )
+
+
+@query("""SELECT test, count(*) AS total, count(*) FILTER (WHERE ok) AS valid,
+                 round(100.0 * count(*) FILTER (WHERE ok) / count(*), 4) AS rate FROM timing GROUP BY test""")
+def success_rate(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.success_rate(table(spark, d, "timing"), ["test"], F.col("ok")).withColumn("rate", F.round("rate", 4))
+
+
+@query("""SELECT run_id, elapsed_ms, CASE WHEN elapsed_ms < 50 THEN 'excellent' WHEN elapsed_ms < 100 THEN 'good'
+                 WHEN elapsed_ms IS NOT NULL THEN 'slow' END AS grade FROM timing""")
+def grade_latency(spark: SparkSession, d: str) -> DataFrame:
+    grade = catalog.grade(F.col("elapsed_ms"), [(50.0, "excellent"), (100.0, "good")], "slow")
+    return table(spark, d, "timing").select("run_id", "elapsed_ms", grade.alias("grade"))
+
+
+@query("""SELECT test, round(avg(elapsed_ms) FILTER (WHERE ok), 4) AS avg_ok, round(avg(elapsed_ms), 4) AS avg_all FROM timing GROUP BY test""")
+def average_latency(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "timing").groupBy("test")
+    return rows.agg(F.round(F.avg(F.when(F.col("ok"), F.col("elapsed_ms"))), 4).alias("avg_ok"), F.round(F.avg("elapsed_ms"), 4).alias("avg_all"))
+
+
+@query("""SELECT test, b AS before_n, a AS after_n, round((a - b) * 100.0 / nullif(b, 0), 4) AS change FROM (
+          SELECT test, count(*) FILTER (WHERE run_at < TIMESTAMP '2024-04-01') AS b,
+                 count(*) FILTER (WHERE run_at >= TIMESTAMP '2024-04-01') AS a FROM timing GROUP BY test)""")
+def improvement_pct(spark: SparkSession, d: str) -> DataFrame:
+    cut = F.lit("2024-04-01").cast("timestamp_ntz")
+    rows = table(spark, d, "timing").groupBy("test")
+    rows = rows.agg(F.count_if(F.col("run_at") < cut).alias("before_n"), F.count_if(F.col("run_at") >= cut).alias("after_n"))
+    return rows.withColumn("change", F.round(catalog.improvement(F.col("before_n"), F.col("after_n")), 4))
+
+
+_TYPES = "(SELECT file_id, coalesce(list_transform(nodes, lambda n: n.type), []) AS t FROM workflow_json)"
+
+
+@query(f"""SELECT file_id, len(t)::INT AS n_nodes,
+                  len(list_filter(t, lambda x: regexp_matches(lower(x), 'trigger|webhook|cron')))::INT AS n_triggers,
+                  len(list_filter(t, lambda x: regexp_matches(lower(x), 'stop(and|with)error|errortrigger'))) > 0 AS handles_errors,
+                  (len(list_distinct(t)) + (len(list_filter(t, lambda x: x IS NULL)) > 0)::INT)::INT AS n_types FROM {_TYPES}""")
+def node_profile(spark: SparkSession, d: str) -> DataFrame:
+    profile = catalog.node_profile(table(spark, d, "workflow_json"))
+    return profile.select("file_id", "n_nodes", "n_triggers", "handles_errors", "n_types")
+
+
+@query("""SELECT wf_id, filename, CASE WHEN regexp_matches(filename, '^[0-9]{4}_') THEN substr(filename, 1, 4)::INT END AS number,
+                 CASE WHEN strpos(regexp_replace(filename, '\\.json$', ''), '_') > 0
+                      THEN list_extract(string_split(regexp_replace(filename, '\\.json$', ''), '_'), -1) END AS kind
+          FROM workflows WHERE regexp_matches(filename, '^[0-9]{4}_[A-Za-z]+_[A-Za-z_]+\\.json$')""")
+def filename_parts(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "workflows").where(F.col("filename").rlike(r"^[0-9]{4}_[A-Za-z]+_[A-Za-z_]+\.json$"))
+    rows = rows.withColumn("p", text.filename_parts(F.col("filename")))
+    return rows.select("wf_id", "filename", "p.number", "p.kind")
+
+
+@query("""SELECT wf_id, CASE len(integrations) WHEN 1 THEN integrations[1] WHEN 2 THEN integrations[1] || ' and ' || integrations[2]
+                 ELSE integrations[1] || ', ' || integrations[2] || ', and ' || integrations[3] END AS services
+          FROM workflows WHERE len(integrations) > 0""")
+def join_services(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "workflows").where(F.size("integrations") > 0)
+    return rows.select("wf_id", text.join_with_and(F.col("integrations")).alias("services"))
+
+
+@query("""SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, date_trunc('week', ts)::DATE AS week, (ts::DATE + 7) AS next_week,
+                 dayofweek(ts)::INT AS weekday, date_diff('day', DATE '2024-01-01', ts::DATE)::INT AS days FROM events""")
+def date_ops(spark: SparkSession, d: str) -> DataFrame:
+    day = F.to_date("ts")
+    return table(spark, d, "events").select(
+        "event_id",
+        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.date_trunc("week", "ts").cast("date").alias("week"),
+        F.date_add(day, 7).alias("next_week"),
+        (F.dayofweek("ts") - 1).alias("weekday"),
+        F.datediff(day, F.lit("2024-01-01").cast("date")).alias("days"),
+    )
+
+
+@query("SELECT doc_id, md5(text) AS md5, sha1(text) AS sha1, sha256(text) AS sha256 FROM documents")
+def hash_ops(spark: SparkSession, d: str) -> DataFrame:
+    kinds = ("md5", "sha1", "sha256")
+    return table(spark, d, "documents").select("doc_id", *[codes.digest(F.col("text"), k).alias(k) for k in kinds])
+
+
+@query("SELECT doc_id, source AS title, 'https://' || source || '.example/' || doc_id AS link, 'Document ' || doc_id AS body FROM documents WHERE source IS NOT NULL")
+def html_extract(spark: SparkSession, d: str) -> DataFrame:
+    page = F.format_string(
+        "<html><head><title>%s</title><style>p {}</style></head><body><p>Document  %s</p><a href='https://%s.example/%s'></a></body>",
+        "source", "doc_id", "source", "doc_id",
+    )
+    rows = table(spark, d, "documents").where("source is not null").select("doc_id", text.html_extract(page).alias("p"))
+    return rows.select("doc_id", F.col("p.title").alias("title"), F.col("p.links")[0].alias("link"), F.col("p.text").alias("body"))
+
+
+@query("SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events")
+def json_extract(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def xml_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "customer").select("c_custkey", F.to_xml(F.struct("c_name", "c_acctbal")).alias("x"))
+    return rows.select("c_custkey", F.from_xml("x", "c_name string, c_acctbal double").alias("r")).select("c_custkey", "r.*")
+
+
+@query("""SELECT c_custkey, 'Write to <email> or <ip>' AS masked FROM customer""")
+def mask_sensitive(spark: SparkSession, d: str) -> DataFrame:
+    told = F.format_string("Write to c%s@mail.example or 10.0.0.%s", "c_custkey", (F.col("c_custkey") % 250).cast("string"))
+    return table(spark, d, "customer").select("c_custkey", text.mask_sensitive(told).alias("masked"))
+
+
+_URLS = """(SELECT file_id, k - 1 AS node_pos, n.parameters['url'] AS url FROM (SELECT file_id, unnest(nodes) AS n, generate_subscripts(nodes, 1) AS k FROM workflow_json))"""
+
+
+@query(f"""SELECT file_id, node_pos::INT AS node_pos, regexp_extract(url, '^([a-z]+)://', 1) AS protocol, regexp_extract(url, '^[a-z]+://([^/?@:]+)', 1) AS host,
+                  regexp_extract(url, '^[a-z]+://[^/?]+([^?]*)', 1) AS path FROM {_URLS} WHERE regexp_matches(url, '^https://[a-z0-9.]+/[a-z0-9/-]*$')""")
+def url_parts(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "workflow_json").select("file_id", F.posexplode("nodes").alias("node_pos", "n"))
+    rows = rows.select("file_id", "node_pos", F.col("n.parameters")["url"].alias("url")).where(F.col("url").rlike("^https://[a-z0-9.]+/[a-z0-9/-]*$"))
+    return rows.withColumn("p", text.url_parts(F.col("url"))).select("file_id", "node_pos", "p.protocol", "p.host", "p.path")
+
+
+@query("""SELECT file_id, k::INT AS node_pos, CASE WHEN m LIKE '[%' THEN array_to_string(regexp_extract_all(m, '[A-Z]+'), '+') ELSE m END AS methods FROM (
+          SELECT file_id, generate_subscripts(nodes, 1) - 1 AS k, unnest(nodes).parameters['method'] AS m FROM workflow_json) WHERE m IS NOT NULL
+          AND regexp_matches(m, '^([A-Z]+|\\[''[A-Z'', ]+''\\])$')""")
+def webhook_methods(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "workflow_json").select("file_id", F.posexplode("nodes").alias("node_pos", "n"))
+    rows = rows.select("file_id", "node_pos", F.col("n.parameters")["method"].alias("m")).where(F.col("m").rlike(r"^([A-Z]+|\['[A-Z', ]+'\])$"))
+    return rows.select("file_id", "node_pos", F.array_join(text.parse_list_literal(F.col("m")), "+").alias("methods"))
+
+
+@query("SELECT s_suppkey, round(s_acctbal * 0.3048, 6) AS metres, NULL::DOUBLE AS grams FROM supplier")
+def convert_units(spark: SparkSession, d: str) -> DataFrame:
+    to = lambda unit: F.round(codes.convert_unit(F.col("s_acctbal"), F.lit("ft"), F.lit(unit)), 6)
+    return table(spark, d, "supplier").select("s_suppkey", to("m").alias("metres"), to("g").alias("grams"))
+
+
+@query("SELECT s_suppkey, s_name AS back FROM supplier")
+def base64_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "supplier").select("s_suppkey", codes.from_base64(codes.to_base64(F.col("s_name"))).alias("back"))
+
+
+@query()
+def hmac_sign(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("event_id", codes.hmac_hex(F.col("props"), b"shared key").alias("signature"))
