@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -94,14 +95,14 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, n: int, bins: int) -> np.n
     some = (out != none).any(axis=1)
     row, at = np.nonzero((out == none) & some[:, None])
     full = out.copy()
-    attempt = np.uint64(1)
-    todo = np.arange(len(row))
+    todo, attempt = np.arange(len(row)), 1
     while len(todo):
-        probe = (_mix((at[todo].astype(np.uint64) << np.uint64(20)) + attempt * _ODD) % np.uint64(bins)).astype(np.int64)
+        asked = (at[todo].astype(np.uint64) << np.uint64(20)) + np.uint64(attempt * int(_ODD) % (1 << 64))
+        probe = (_mix(asked) % np.uint64(bins)).astype(np.int64)
         value = out[row[todo], probe]
         hit = value != none
         full[row[todo[hit]], at[todo[hit]]] = value[hit]
-        todo, attempt = todo[~hit], attempt + np.uint64(1)
+        todo, attempt = todo[~hit], attempt + 1
     return full
 
 
@@ -181,16 +182,14 @@ class NearDuplicates:
     """
 
     def __init__(self, sources: list[tuple[str, DataFrame, tuple]], threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS):
-        self.threshold = threshold
-        self.classes, self.links = None, None
+        self.threshold, self.parts = threshold, []
         for field, frame, kind in sources:
             id_col, text = frame.columns[:2]
             frame = frame.where(F.length(text) > 0).select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-            classes, links = self._links(field, frame, kind, bands, rows)
-            self.classes = classes if self.classes is None else self.classes.union(classes)
-            self.links = links if self.links is None else self.links.union(links)
+            self.parts.append((F.lit(field).alias("field"), kind, *self._stars(field, frame, kind, bands, rows)))
 
-    def _links(self, field, frame, kind, bands, rows):
+    def _stars(self, field, frame, kind, bands, rows):
+        """Classes of equal words, the texts that stand for them, and the star edges, all and those that hold."""
         keyed = frame.select("id", _words_key(F.col("text")).alias("key"))
         several = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("most")).where("most > rep").select("key", "rep")
         classes = materialize(keyed.join(several, "key").select("id", "rep").distinct(), f"copies-{field}")
@@ -198,19 +197,33 @@ class NearDuplicates:
         banded = reps.select("id", "text").mapInArrow(_band_rows(kind, field, bands, rows), "band long, id long")
         stars = banded.repartition("band").sortWithinPartitions("band", "id").mapInArrow(_stars, "id_a long, id_b long")
         edges = materialize(stars.distinct(), f"stars-{field}")
-        first = materialize(self._checked(edges, reps, kind), f"alike-{field}")
-        # Two that are alike to the same one, and were not in a star of each other's.
-        ends = first.union(first.select("id_b", "id_a")).toDF("x", "y")
-        two, three = ends.alias("two"), ends.alias("three")
-        gaps = two.join(three, (F.col("two.x") == F.col("three.x")) & (F.col("two.y") < F.col("three.y")))
-        gaps = gaps.select(F.col("two.y").alias("id_a"), F.col("three.y").alias("id_b")).distinct().join(edges, ["id_a", "id_b"], "left_anti")
-        links = first.union(materialize(self._checked(materialize(gaps, f"gaps-{field}"), reps, kind), f"alike-{field}"))
-        named = F.lit(field).alias("field")
         # A class with no run at all has no similarity, not even to itself.
         runs = reps.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", F.col("id"), "text", "text")
         runs = runs.toDF("id_a", "id_b", "text_a", "text_b").mapInArrow(_alike(kind, self.threshold), "id_a long, id_b long")
-        classes = classes.join(runs.select(F.col("id_a").alias("rep")).distinct(), "rep", "left_semi")
-        return materialize(classes.select(named, "id", "rep"), f"classes-{field}"), links.select(named, "id_a", "id_b")
+        classes = materialize(classes.join(runs.select(F.col("id_a").alias("rep")).distinct(), "rep", "left_semi"), f"classes-{field}")
+        return classes, reps, edges, materialize(self._checked(edges, reps, kind), f"alike-{field}")
+
+    @property
+    def classes(self) -> DataFrame:
+        """``(field, id, rep)`` of records whose words another record has too."""
+        return reduce(DataFrame.union, [classes.select(field, "id", "rep") for field, _, classes, *_ in self.parts])
+
+    @property
+    def star_links(self) -> DataFrame:
+        """``(field, id_a, id_b)``: the star edges that hold; they connect whatever is connected."""
+        return reduce(DataFrame.union, [links.select(part, "id_a", "id_b") for part, *_, links in self.parts])
+
+    def links(self) -> DataFrame:
+        """``(field, id_a, id_b)`` between classes: star edges, and pairs that are alike to the same one."""
+        out = []
+        for field, kind, _, reps, edges, first in self.parts:
+            ends = first.union(first.select("id_b", "id_a")).toDF("x", "y")
+            two, three = ends.alias("two"), ends.alias("three")
+            gaps = two.join(three, (F.col("two.x") == F.col("three.x")) & (F.col("two.y") < F.col("three.y")))
+            gaps = gaps.select(F.col("two.y").alias("id_a"), F.col("three.y").alias("id_b")).distinct().join(edges, ["id_a", "id_b"], "left_anti")
+            more = self._checked(materialize(gaps, "gaps"), reps, kind)
+            out.append(first.union(materialize(more, "gap-links")).select(field, "id_a", "id_b"))
+        return reduce(DataFrame.union, out)
 
     def _checked(self, edges: DataFrame, texts: DataFrame, kind: tuple) -> DataFrame:
         """The edges whose sets are as similar as asked for, by exact comparison."""
@@ -222,7 +235,7 @@ class NearDuplicates:
     def pairs(self) -> DataFrame:
         """``(field, id_a, id_b)`` of all records, copies within a class and between classes included."""
         members = self.classes.select("field", "rep", F.col("id").alias("member"))
-        out = self.links
+        out = self.links()
         for side in ("id_a", "id_b"):
             own = members.withColumnRenamed("rep", side)
             out = out.join(own, ["field", side], "left").withColumn(side, F.coalesce("member", side)).drop("member")
@@ -237,12 +250,12 @@ class NearDuplicates:
         return out.union(same.select(F.col("one.field"), F.col("one.member"), F.col("two.member")))
 
     def groups(self, rounds: int = 30) -> DataFrame:
-        """``(field, id, group_id)`` of each record in a group: connected components of the links.
+        """``(field, id, group_id)`` of each record in a group: connected components of the star links.
 
         Each round takes the least label among neighbours and then that label's own label, so
         paths halve; it ends when nothing changes.
         """
-        ends = self.links.union(self.links.select("field", "id_b", "id_a")).toDF("field", "id", "other")
+        ends = self.star_links.union(self.star_links.select("field", "id_b", "id_a")).toDF("field", "id", "other")
         labels = materialize(ends.groupBy("field", "id").agg(F.least(F.min("id"), F.min("other")).alias("label")), "labels")
         for _ in range(rounds):
             near = ends.join(labels.withColumnsRenamed({"id": "other"}), ["field", "other"]).select("field", "id", "label")
