@@ -191,7 +191,7 @@ def parse_list_literal(text: Column) -> Column:
 
 
 def split_comma_list(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def filename_parts(filename: Column) -> Column:
