@@ -72,3 +72,10 @@ def render_text(records: DataFrame, date: str) -> DataFrame:
     whole = parts.agg(F.array_sort(F.collect_list(F.struct("_p", "company", "category", "text", "html"))).alias("s"))
     join = lambda f, sep: F.array_join(F.transform("s", lambda x: x[f]), sep)
     return whole.select(F.lit(date).alias("digest_date"), join("text", "\n\n").alias("text"), join("html", "").alias("html"))
+
+
+def run_summary(records: DataFrame, failures: DataFrame) -> DataFrame:
+    """One row per source: its records, and why it failed, if it did (``source``, ``error``)."""
+    counted = records.groupBy("source").agg(F.count("*").alias("n_records"))
+    failed = failures.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("error")), "; ").alias("errors"))
+    return counted.join(failed, "source", "full_outer").select("source", F.coalesce("n_records", F.lit(0)).alias("n_records"), "errors")

@@ -126,3 +126,10 @@ def embed_hashed(text: Column, dims: int = 64) -> Column:
     raw = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), at)
     norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda s, x: s + x * x))
     return F.transform(raw, lambda x: F.coalesce(F.try_divide(x, norm), F.lit(0.0)).cast("float"))
+
+
+def rerank(candidates: DataFrame, k: int, score: Column, by: str = "query_id", id_col: str = "id") -> DataFrame:
+    """The best ``k`` candidates per query by a second score, ties to the smaller id."""
+    order = Window.partitionBy(by).orderBy(F.desc_nulls_last("score2"), id_col)
+    scored = candidates.withColumn("score2", score)
+    return scored.withColumn("rank2", F.row_number().over(order)).where(F.col("rank2") <= k)

@@ -32,7 +32,20 @@ def p4_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.union_schema(table(spark, sf_dir, "workflow_files"), layout)
 
 
-@query()
+@query("""WITH f AS (SELECT file_id, nodes, CASE WHEN json_valid(connections) THEN CASE WHEN json_type(connections) = 'OBJECT' THEN connections::JSON END END AS c
+                     FROM workflow_json WHERE len(nodes) > 0),
+          x AS (SELECT file_id, unnest(nodes) AS n FROM f), names AS (SELECT DISTINCT file_id, n.name AS name FROM x),
+          links AS (SELECT f.file_id, s.key AS parent, TRY_CAST(t.key AS INT) AS slot, l.value->>'$.node' AS child
+                    FROM f, json_each(f.c) s, json_each(s.value) p, json_each(p.value) t, json_each(t.value) l
+                    WHERE s.type = 'OBJECT' AND p.type = 'ARRAY' AND t.type = 'ARRAY' AND l.type = 'OBJECT' AND json_type(l.value, '$.node') = 'VARCHAR'),
+          r AS (SELECT file_id, n.name AS name, CASE WHEN json_valid(n.parameters['rules']) THEN n.parameters['rules']::JSON END AS j FROM x),
+          v AS (SELECT file_id, name, TRY_CAST(u.key AS INT) AS slot, u.value AS value, u.value->>'$.id' AS id FROM r, json_each(r.j, '$.values') u
+                WHERE json_type(r.j, '$.values') = 'ARRAY' AND u.type = 'OBJECT' AND json_type(u.value, '$.id') = 'VARCHAR'),
+          i AS (SELECT file_id, v.id AS parent, TRY_CAST(w.key AS INT) AS slot, w.value->>'$.id' AS child FROM v, json_each(v.value, '$.conditions.items') w
+                WHERE json_type(v.value, '$.conditions.items') = 'ARRAY' AND w.type = 'OBJECT' AND json_type(w.value, '$.id') = 'VARCHAR')
+          SELECT DISTINCT file_id, 'link' AS kind, parent, slot, child FROM links l
+          SEMI JOIN names a ON a.file_id = l.file_id AND a.name = l.parent SEMI JOIN names b ON b.file_id = l.file_id AND b.name = l.child
+          UNION SELECT file_id, 'rule', name, slot, id FROM v UNION SELECT file_id, 'condition', parent, slot, child FROM i""")
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.flatten(table(spark, sf_dir, "workflow_json"))
 

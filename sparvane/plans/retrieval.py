@@ -162,3 +162,30 @@ def error_stream(spark: SparkSession, d: str) -> DataFrame:
 def late_drop(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "timing").where("run_at is not null and loaded_at is not null")
     return rows.select("run_id", (F.col("loaded_at") - F.col("run_at") > F.expr("INTERVAL 1 DAY")).alias("late"))
+
+
+@query(f"""SELECT query_id, id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY label, id) AS n FROM
+           (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, id) AS rank FROM {_NEAR}) WHERE rank <= 10) WHERE n <= 3""")
+def rerank(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    near = vector.top_k(rows, rows.where("vec_id % 50 = 0"), 10).join(rows.selectExpr("vec_id AS id", "label"), "id")
+    return vector.rerank(near, 3, -F.col("label")).select("query_id", "id")
+
+
+@query("""SELECT source, count(*) AS n_records, CASE WHEN count(*) FILTER (WHERE text IS NULL) > 0 THEN 'no text' END AS errors
+          FROM documents WHERE source IS NOT NULL GROUP BY source""")
+def run_summary(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").where("source is not null")
+    return digest.run_summary(rows, rows.where("text is null").select("source", F.lit("no text").alias("error")))
+
+
+@query("""SELECT event_type, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY 1""")
+def percentiles(spark: SparkSession, d: str) -> DataFrame:
+    at = lambda p: F.round(F.percentile("value", F.lit(p)), 6)
+    return table(spark, d, "events").groupBy("event_type").agg(at(0.5).alias("median"), at(0.95).alias("p95"))
+
+
+@query("""SELECT event_type, user_id, count(*) AS n FROM events GROUP BY GROUPING SETS ((event_type), (user_id), ())""")
+def grouping_sets(spark: SparkSession, d: str) -> DataFrame:
+    table(spark, d, "events").createOrReplaceTempView("sparvane_events")
+    return spark.sql("SELECT event_type, user_id, count(*) AS n FROM sparvane_events GROUP BY GROUPING SETS ((event_type), (user_id), ())")
