@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import catalog
+from .runtime import materialize
 from .sources import files
 
 SCHEMA = (
@@ -51,7 +52,8 @@ def _current(spark: SparkSession, path: str) -> DataFrame | None:
 
 def index(spark: SparkSession, source: str, path: str, force: bool = False) -> dict[str, int]:
     """Append what is new or changed; ``processed``, ``skipped``, ``errors`` and ``total``."""
-    fresh, counts = files.index_files(catalog_rows(files.read_json_files(spark, source)), _current(spark, path), force)
+    rows = materialize(catalog_rows(files.read_json_files(spark, source)), "catalog-rows")  # files are parsed once
+    fresh, counts = files.index_files(rows, _current(spark, path), force)
     figures = counts.first().asDict()
     fresh.drop("error").write.mode("overwrite" if force else "append").parquet(path)
     return figures

@@ -61,5 +61,5 @@ def parse_api_doc(page: Column) -> Column:
 
 def read_api_docs(spark: SparkSession, path: str, glob: str = "*_api_docs.md") -> DataFrame:
     """``(filename, ...)`` of every page below ``path``."""
-    pages = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
+    pages = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     return pages.select(F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("filename"), parse_api_doc(F.col("value")).alias("d")).select("filename", "d.*")
