@@ -255,7 +255,7 @@ def rule_rows(index: StructuralIndex):
     )
 
 
-_CHUNK = 4_000_000
+_CHUNK = 1_000_000
 
 
 def _chunks(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
