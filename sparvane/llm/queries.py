@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import table
+from ..runtime import materialize, table
 from . import bpe, cooccur, copies, neardup, packing, secrets, spans
 
 
@@ -24,7 +24,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ledger(spark, sf_dir):
     files = copies.file_keys(table(spark, sf_dir, "workflow_json"))
     names = copies.name_keys(table(spark, sf_dir, "workflows"))
-    return copies.CopyLedger(spark).absorb(files).absorb(names), files.union(names)
+    members = materialize(files.union(names), "copy-members")  # the keys are made once, and are short
+    ledger = copies.CopyLedger(spark)
+    for field in ("nodes", "filename"):
+        ledger.absorb(members.where(F.col("field") == field))
+    return ledger, members
 
 
 def _near(spark, sf_dir):
