@@ -97,7 +97,32 @@ def oracle_sql() -> dict[str, str]:
         s AS (SELECT type_a, type_b, n_ab, x.n AS n_a, y.n AS n_b, n_records,
                      n_ab::DOUBLE * n_records / (x.n::DOUBLE * y.n) AS lift
               FROM p JOIN n x ON x.item = type_a JOIN n y ON y.item = type_b, t)"""
+    words = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
+    file_text = """list_reduce(list_prepend('', list_transform(nodes, lambda n: concat_ws(' ', n.name, n.type,
+        list_aggregate(list_transform(list_sort(map_keys(n.parameters)), lambda k: concat_ws(' ', k, n.parameters[k])), 'string_agg', ' ')))),
+        lambda x, y: x || ' ' || y)"""
+    similar = f"""
+        WITH f AS (SELECT file_id AS id, any_value({words.format(file_text)}) AS w FROM workflow_json WHERE len(nodes) > 0 GROUP BY file_id),
+        m AS (SELECT wf_id AS id, any_value(array_to_string({words.format("name")}, ' ')) AS t FROM workflows WHERE name IS NOT NULL GROUP BY wf_id),
+        s AS (SELECT DISTINCT 'nodes' AS field, id, w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] AS x FROM (SELECT id, w, unnest(range(1, len(w) - 1)) AS k FROM f)
+              UNION ALL SELECT DISTINCT 'name', id, substr(t, k, 3) FROM (SELECT id, t, unnest(range(1, length(t) - 1)) AS k FROM m WHERE length(t) >= 20)),
+        n AS (SELECT field, id, count(*) AS n FROM s GROUP BY ALL),
+        j AS (SELECT field, a.id AS id_a, b.id AS id_b, count(*) AS common FROM s a JOIN s b USING (field, x) WHERE a.id < b.id GROUP BY ALL)
+        SELECT j.field AS field, id_a, id_b FROM j JOIN n a ON a.field = j.field AND a.id = id_a JOIN n b ON b.field = j.field AND b.id = id_b
+        WHERE common * 10 >= 7 * (a.n + b.n - common)"""
+    windows = """
+        WITH d AS (SELECT doc_id, any_value(text) AS t FROM documents WHERE length(text) >= 240 GROUP BY doc_id),
+        w AS (SELECT doc_id, p, md5(substr(t, p, 240)) AS h FROM (SELECT doc_id, t, unnest(range(1, length(t) - 238)) AS p FROM d)),
+        h AS (SELECT h FROM w GROUP BY h HAVING count(DISTINCT doc_id) > 1), s AS (SELECT doc_id, p, h FROM w SEMI JOIN h USING (h))"""
     return {
+        "p2_found": similar,
+        "p10_found": f"""{windows} SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM (SELECT DISTINCT doc_id, h FROM s) a
+                         JOIN (SELECT DISTINCT doc_id, h FROM s) b USING (h) WHERE a.doc_id < b.doc_id""",
+        "p10_shares": f"""{windows}, c AS (SELECT doc_id, sum(least(240, coalesce(next - p, 240)))::BIGINT AS n_shared FROM
+                          (SELECT doc_id, p, lead(p) OVER (PARTITION BY doc_id ORDER BY p) AS next FROM s) GROUP BY doc_id)
+                          SELECT doc_id, coalesce(length(text), 0) AS n_chars, coalesce(n_shared, 0) AS n_shared,
+                                 CASE WHEN length(text) > 0 THEN coalesce(n_shared, 0) / length(text) ELSE 0.0::DOUBLE END AS share
+                          FROM documents LEFT JOIN c USING (doc_id)""",
         "p3_pairs": f"{pairs} SELECT * FROM s",
         "p3_found": f"""{pairs} SELECT type_a, type_b FROM s WHERE n_ab >= 5 AND n_ab * 50 >= n_records
                         AND n_ab * n_records * 2 >= n_a * n_b * 5""",
