@@ -10,7 +10,21 @@ from ..runtime import table
 from .registry import query
 
 
-@query()
+@query("""WITH b AS (SELECT DISTINCT raw_id, body::JSON AS j FROM workflow_files WHERE CASE WHEN json_valid(body) THEN json_type(body) = 'OBJECT' ELSE false END),
+          o AS (SELECT raw_id, 'file' AS level, j FROM b
+                UNION ALL SELECT raw_id, 'node', n.value FROM b, json_each(j, '$.nodes') n WHERE json_type(j, '$.nodes') = 'ARRAY' AND n.type = 'OBJECT'
+                UNION ALL SELECT raw_id, 'link', l.value FROM b, json_each(j, '$.connections') s, json_each(s.value) p, json_each(p.value) t, json_each(t.value) l
+                WHERE json_type(j, '$.connections') = 'OBJECT' AND s.type = 'OBJECT' AND p.type = 'ARRAY' AND t.type = 'ARRAY' AND l.type = 'OBJECT'),
+          n AS (SELECT *, row_number() OVER () AS k FROM o),
+          f AS (SELECT k, raw_id, level, e.key AS field, CASE e.type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array'
+                       WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN 'null' ELSE 'number' END AS t FROM n, json_each(n.j) e),
+          missing AS (SELECT k, raw_id, level, field, json_type AS t, row_number() OVER (PARTITION BY k, json_type ORDER BY field) AS i
+                      FROM (SELECT k, raw_id, n.level, field, json_type FROM n JOIN schema_fields s ON s.level = n.level AND s.required) m ANTI JOIN f USING (k, field)),
+          unknown AS (SELECT k, raw_id, level, field, t, row_number() OVER (PARTITION BY k, t ORDER BY field) AS i FROM f ANTI JOIN schema_fields s USING (level, field))
+          SELECT raw_id, level, field, CASE WHEN u.k IS NULL THEN 'removed' ELSE 'renamed' END AS change
+          FROM missing m LEFT JOIN (SELECT k, t, i FROM unknown) u USING (k, t, i)
+          UNION SELECT raw_id, level, field, 'added' FROM unknown ANTI JOIN missing USING (k, t, i)
+          UNION SELECT raw_id, level, field, 'retyped' FROM f JOIN schema_fields s USING (level, field) WHERE t <> 'null' AND t <> json_type""")
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drift.changes(table(spark, sf_dir, "workflow_files"), table(spark, sf_dir, "schema_fields"))
     return found.select("raw_id", "level", "field", "change").distinct()
