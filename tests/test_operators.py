@@ -89,6 +89,24 @@ def test_search(spark):
     assert search.bm25(frame.limit(0), "id", "t", ["bot"]).count() == 0
 
 
+def test_written_index_answers_as_the_scan(spark, tmp_path):
+    frame = spark.createDataFrame([(k, f"word{k % 7} Common, x{k}") for k in range(60)], "id int, t string")
+    search.write_postings(search.postings(frame, "id", "t"), str(tmp_path / "index"), buckets=8)
+    index = spark.read.parquet(str(tmp_path / "index"))
+    for term in ("Word3", "common", "x59", "absent"):
+        found = search.look_up(index, term, buckets=8)
+        assert rows(found.select("id")) == rows(search.match_term(frame, "t", term).select("id"))
+    plan = search.look_up(index, "common", buckets=8)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
+def test_item_lists_dispatch(spark):
+    frame = spark.createDataFrame([(1, ["a", "b"]), (1, ["b"]), (2, None)], "k int, x array<string>")
+    out = shape.item_lists(frame, "split_out", field="x")
+    assert out.count() == 3 and shape.item_lists(out, "remove_duplicates", keys=["k", "x"]).count() == 2
+    assert [r["x"] for r in shape.item_lists(out, "sort", keys=[("x", False), ("k", True)]).limit(1).collect()] == ["b"]
+
+
 def test_vectors(spark):
     data = [(1, [1.0, 0.0], "a"), (2, [2.0, 0.1], "a"), (3, [0.0, 1.0], "b"), (4, [0.0, 0.0], "b"), (5, None, "b"), (6, [1.0], "b"), (7, [0.0, 1.0], "b")]
     frame = spark.createDataFrame(data, "vec_id long, embedding array<float>, label string")
