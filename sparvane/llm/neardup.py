@@ -129,8 +129,11 @@ def _band_rows(kind: tuple, field: str, bands: int, rows: int):
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by band and id to edges from each bucket's first member; no bucket is held."""
-    band, hub = None, None
+    """Rows sorted by band and id to edges from each bucket's first member, and from the member just before.
+
+    A bucket of m members gives at most 2 m - 3 edges; none is held.
+    """
+    band = hub = last = None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -138,9 +141,12 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.concatenate([[bands[0] != band if band is not None else True], bands[1:] != bands[:-1]])
         at = np.maximum.accumulate(np.where(first, np.arange(len(ids)), -1))
         hubs = np.where(at >= 0, ids[at], hub if hub is not None else 0)
-        band, hub = bands[-1], hubs[-1]
-        edge = ids > hubs
-        yield pa.RecordBatch.from_arrays([pa.array(hubs[edge]), pa.array(ids[edge])], names=["id_a", "id_b"])
+        before = np.concatenate([[last if last is not None else 0], ids[:-1]])
+        band, hub, last = bands[-1], hubs[-1], ids[-1]
+        star = ids > hubs
+        chain = star & (before > hubs) & (before < ids)
+        ends = np.concatenate([hubs[star], before[chain]]), np.concatenate([ids[star], ids[chain]])
+        yield pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], names=["id_a", "id_b"])
 
 
 def _alike(kind: tuple, threshold: float):
