@@ -314,6 +314,10 @@ def decode(ids: Column, shipped) -> Column:
 
 
 def encode_corpus(documents: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``(id, ids)`` of each document; one pass, no shuffle. A null text gives an empty list."""
+    """``(id, ids)`` of each document; one pass, no shuffle. Null and empty texts give an empty list.
+
+    Texts of any length are encoded whole. A row delivered twice gives its ids twice; other columns
+    are not read.
+    """
     shipped = compiled(documents.sparkSession, vocabulary)
     return documents.select(F.col(id_col), encode(F.col(text), shipped).alias("ids"))

@@ -132,8 +132,11 @@ def pack(sized: DataFrame, capacity: int, id_col: str = "doc_id", size_col: str
 
 
 def pack_containers(sized: DataFrame, containers: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens") -> DataFrame:
-    """``pack`` for every row of ``containers`` (``container``, ``capacity``; a handful, fixed)."""
-    sized = materialize(sized.select(id_col, size_col), "packing-sizes")
+    """``pack`` for every row of ``containers`` (``container``, ``capacity``; a handful, fixed).
+
+    An id delivered twice is packed once. Capacities below 1 and null ones are left out.
+    """
+    sized = materialize(sized.select(id_col, size_col).dropDuplicates([id_col]), "packing-sizes")
     out = None
     for row in containers.where("capacity > 0").select("container", "capacity").distinct().collect():
         packed = pack(sized, row["capacity"], id_col, size_col)

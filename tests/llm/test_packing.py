@@ -63,7 +63,7 @@ def test_pack(spark, monkeypatch):
     sizes |= {3000: 512, 3001: 513, 3002: 1024, 3003: 0, 3004: None} | {k: 100 for k in range(4000, 6000)}
     frame = spark.createDataFrame([(k, n, "x") for k, n in sizes.items()], "doc_id long, n_tokens long, bucket string")
     containers = spark.createDataFrame([("short", 512), ("long", 4096), ("none", 0), (None, None)], "container string, capacity int")
-    out = packing.pack_containers(frame, containers).collect()
+    out = packing.pack_containers(frame.union(frame.where("doc_id < 50")), containers).collect()
     for name, capacity in (("short", 512), ("long", 4096)):
         n = check([r for r in out if r["container"] == name], sizes, capacity)
         assert n <= 1.03 * -(-sum(x or 0 for x in sizes.values()) // capacity) + 1
