@@ -4,8 +4,8 @@ One hash of each shingle serves all bins of a signature: its high part picks the
 smallest rest is the bin's value. Empty bins take the value of another bin, chosen by a hash
 of the bin and the attempt until a full one is met (optimal densification), so signatures of
 small sets agree as often as their sets do. Bands of a signature are buckets; a bucket gives
-edges from its smallest member to the others only, so its pairs grow with its size, not the
-square. Edges are checked exactly against the sets; members that were found alike to the same
+edges from its smallest member to the others, and from each member to the next, so its pairs grow
+with its size, not the square. Edges are checked exactly against the sets; members that were found alike to the same
 one are then checked against each other, which finds the pairs that a star leaves out.
 
 Records of equal words are one class; only its smallest id is banded and compared.
@@ -144,8 +144,8 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = np.concatenate([[last if last is not None else 0], ids[:-1]])
         band, hub, last = bands[-1], hubs[-1], ids[-1]
         star = ids > hubs
-        chain = star & (before > hubs) & (before < ids)
-        ends = np.concatenate([hubs[star], before[chain]]), np.concatenate([ids[star], ids[chain]])
+        step = star & (before > hubs) & (before < ids)
+        ends = np.concatenate([hubs[star], before[step]]), np.concatenate([ids[star], ids[step]])
         yield pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], names=["id_a", "id_b"])
 
 
@@ -191,12 +191,12 @@ class NearDuplicates:
         self.threshold, self.parts = threshold, []
         for field, frame, kind in sources:
             id_col, text = frame.columns[:2]
-            frame = frame.where(F.length(text) > 0).select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+            frame = frame.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
             self.parts.append((F.lit(field).alias("field"), kind, *self._stars(field, frame, kind, bands, rows)))
 
     def _stars(self, field, frame, kind, bands, rows):
         """Classes of equal words, the texts that stand for them, and the star edges, all and those that hold."""
-        keyed = frame.select("id", _words_key(F.col("text")).alias("key"))
+        keyed = materialize(frame.select("id", _words_key(F.col("text")).alias("key")), f"keys-{field}").where("key is not null")
         several = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("most")).where("most > rep").select("key", "rep")
         classes = materialize(keyed.join(several, "key").select("id", "rep").distinct(), f"copies-{field}")
         reps = frame.join(classes.where("id != rep").select("id"), "id", "left_anti")
