@@ -9,7 +9,9 @@ no further, so whether a pair shares one is decided exactly from these neighbour
 
 Copies of a whole text are represented by one of them until the end. No group is ever paired
 out: within an anchor's group rows are put into classes by the window they have in common, and
-a pair is written only at the first anchor of the run it shares.
+a pair is written only at the first anchor of the run it shares. Crowded anchors, such as those
+of boilerplate, form no groups: the digests of all windows that hold them are counted, which is
+linear, and only windows that several texts have go on.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +28,7 @@ from ..runtime import materialize
 
 LENGTH = 240
 GRAM = 96
-#: An anchor in more texts than this is grouped by half of its neighbourhood as well.
+#: Anchors with more occurrences than this are not grouped; the windows around them are counted instead.
 CROWDED = 2000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -134,7 +137,7 @@ def _anchor_rows(k: int, w: int):
 
 
 def _neighbourhoods(k: int, around: int):
-    """(doc, text, [(anchor, at, crowded)]) to one row per anchor with its surroundings, and its group's key."""
+    """(doc, text, [(anchor, at)]) to one row per anchor with its surroundings, and its group's key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,15 +146,7 @@ def _neighbourhoods(k: int, around: int):
                 for x in found:
                     pos, gap = x["at"] >> 8, x["at"] & 255
                     left, mid, right = text[max(0, pos - around) : pos], text[pos : pos + k], text[pos + k : pos + k + around]
-                    base = hash_text(mid) ^ x["anchor"]
-                    keys = [base]
-                    if x["crowded"]:  # a shared window has at least half of the rest on one side
-                        half = (around + 1) // 2
-                        keys = [hash_text(right[:half]) ^ base] if len(right) >= half else []
-                        if len(left) >= around - around // 2:
-                            keys.append(hash_text("<" + left[len(left) - half :]) ^ base)
-                    for key in keys:
-                        rows.append((key, doc, pos, gap, left, right))
+                    rows.append((hash_text(mid) ^ x["anchor"], doc, pos, gap, left, right))
                 if len(rows) > 20_000:
                     yield _batch(rows)
                     rows = []
@@ -161,10 +156,43 @@ def _neighbourhoods(k: int, around: int):
     return run
 
 
+def _windows(length: int, around: int):
+    """(doc, text, [(anchor, at)]) to every window that holds one of the anchors: its digest, its
+    start, and a hash of the window one place further left (of the record where there is none)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: dict[tuple[int, int], tuple[bytes, int]] = {}
+            for doc, text, found in zip(*(c.to_pylist() for c in batch.columns)):
+                starts = {p for x in found for p in range(max(0, (x["at"] >> 8) - around), min(x["at"] >> 8, len(text) - length) + 1)}
+                digests = {p: _digest(text[p : p + length]) for p in starts | {p - 1 for p in starts if p}}
+                for p in starts:
+                    before = digests[p - 1] if p else _digest(f"^{doc}")
+                    rows[doc, p] = digests[p], int.from_bytes(before[:8], "little", signed=True)
+                if len(rows) > 50_000:
+                    yield _window_batch(rows)
+                    rows = {}
+            if rows:
+                yield _window_batch(rows)
+
+    return run
+
+
+def _digest(text: str) -> bytes:
+    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+
+
+def _window_batch(rows):
+    docs, starts = zip(*rows)
+    windows, before = zip(*rows.values())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(windows, pa.binary()), pa.array(docs, pa.int64()), pa.array(starts, pa.int64()), pa.array(before, pa.int64())],
+        names=["window", "doc", "start", "before"],
+    )
+
+
 def hash_text(text: str) -> int:
     """A 64-bit hash that does not depend on the process."""
-    import xxhash
-
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
@@ -299,24 +327,43 @@ class SharedSpans:
         others = self.classes.where("doc != rep").select("doc")
         self.docs = docs.join(others, "doc", "left_anti")
 
-    def _surroundings(self) -> DataFrame:
+    def _surroundings(self) -> tuple[DataFrame, DataFrame]:
+        """Neighbourhoods of anchors that several texts have, by group; windows of the crowded ones."""
         w = self.around + 1
         anchors = materialize(
             self.docs.select("doc", "text").mapInArrow(_anchor_rows(self.gram, w), "anchor long, doc long, at long"), "span-anchors"
         )
         shared = anchors.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("n"))
-        shared = shared.where("least < most").select("anchor", (F.col("n") > CROWDED).alias("crowded"))
-        seeds = anchors.join(shared, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "crowded")).alias("found"))
-        near = self.docs.join(seeds, "doc").select("doc", "text", "found")
-        near = near.mapInArrow(
+        shared = materialize(shared.where("least < most").select("anchor", (F.col("n") > CROWDED).alias("crowded")), "span-shared")
+
+        def texts(which: str) -> DataFrame:
+            seeds = anchors.join(shared.where(which).select("anchor"), "anchor")
+            seeds = seeds.groupBy("doc").agg(F.collect_list(F.struct("anchor", "at")).alias("found"))
+            # Written, so that the planner moves the texts only if the seeds are many.
+            return self.docs.join(materialize(seeds, "span-seeds"), "doc").select("doc", "text", "found")
+
+        near = texts("not crowded").mapInArrow(
             _neighbourhoods(self.gram, self.around), "group long, doc long, pos long, gap long, `left` string, `right` string"
         )
-        return near.repartition("group").sortWithinPartitions("group")
+        windows = texts("crowded").mapInArrow(_windows(self.length, self.around), "window binary, doc long, start long, before long")
+        windows = materialize(windows.distinct(), "span-windows")
+        counted = windows.groupBy("window").agg(
+            F.min("doc").alias("least"), F.max("doc").alias("most"), (F.min("before") < F.max("before")).alias("begins")
+        )
+        windows = windows.join(counted.where("least < most").select("window", "begins"), "window")
+        return near.repartition("group").sortWithinPartitions("group"), windows
 
     def pairs(self) -> DataFrame:
         """``(doc_a, doc_b)``, ``doc_a < doc_b``: every pair of records that share such a span."""
-        pairs = self._surroundings().mapInArrow(_grouped(self.gram, self.around, True), "doc_a long, doc_b long").distinct()
-        pairs = materialize(pairs, "span-pairs")
+        near, windows = self._surroundings()
+        pairs = near.mapInArrow(_grouped(self.gram, self.around, True), "doc_a long, doc_b long")
+        # A pair that shares the window before as well is written there.
+        begin = windows.where("begins").select("window", "doc", "before").distinct()
+        one, two = begin.alias("one"), begin.alias("two")
+        more = one.join(
+            two, (F.col("one.window") == F.col("two.window")) & (F.col("one.doc") < F.col("two.doc")) & (F.col("one.before") != F.col("two.before"))
+        )
+        pairs = materialize(pairs.union(more.select("one.doc", "two.doc")).distinct(), "span-pairs")
         members = self.classes.select(F.col("rep"), F.col("doc").alias("member"))
         for side in ("doc_a", "doc_b"):
             pairs = pairs.join(members, F.col(side) == F.col("rep"), "left").withColumn(side, F.coalesce("member", side)).drop("rep", "member")
@@ -327,7 +374,9 @@ class SharedSpans:
 
     def shares(self, documents: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
         """``(doc_id, n_chars, n_shared, share)`` of every record; null and empty texts have share 0."""
-        spans = self._surroundings().mapInArrow(_grouped(self.gram, self.around, False), "doc long, start long, `end` long")
+        near, windows = self._surroundings()
+        spans = near.mapInArrow(_grouped(self.gram, self.around, False), "doc long, start long, `end` long")
+        spans = spans.union(windows.select("doc", "start", F.col("start") + self.length))
         spans = spans.groupBy("doc", "start").agg(F.max("end").alias("end"))
         merged = spans.groupBy("doc").applyInArrow(_covered, "doc long, n_shared long")
         whole = self.classes.select("doc", F.lit(True).alias("whole")).distinct()
