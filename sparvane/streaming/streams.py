@@ -97,14 +97,14 @@ class _Delay(StatefulProcessor):
         self.handle = handle
         self.held = handle.getListState("held", "row string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
             for row in frame["row"]:
                 self.held.appendValue((row,))
-        self.handle.registerTimer(timer.getCurrentProcessingTimeInMs() + self.delay)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay)
         return iter(())
 
-    def handleExpiredTimer(self, key, timer, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         rows = [r[0] for r in self.held.get()]
         self.held.clear()
         if rows:
@@ -115,6 +115,9 @@ class _Delay(StatefulProcessor):
 
 
 def wait(stream: DataFrame, key: str, delay_ms: int) -> DataFrame:
-    """``(key, row)``: rows as JSON, held per key for ``delay_ms`` of processing time."""
+    """``(key, row)``: rows as JSON, held per key for ``delay_ms`` of processing time.
+
+    The session's state store must be RocksDB, and a query with a processing-time trigger must run on.
+    """
     rows = stream.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("row"))
     return rows.groupBy("key").transformWithStateInPandas(_Delay(delay_ms), "key string, row string", "append", "processingTime")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +91,20 @@ def test_stream_dedup_errors_and_upserts(spark, tmp_path):
 def test_sessions(spark):
     got = streams.session_windows(events(spark, [0, 5, 30]), "ts", ["user"], "10 minutes").orderBy("session_start").collect()
     assert [r["n"] for r in got] == [2, 1]
+
+
+def test_wait_holds_rows(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, v int").coalesce(1).write.parquet(str(tmp_path / "in"))
+    held = streams.wait(streams.file_stream(spark, str(tmp_path / "in"), "k string, v int"), "k", 1500)
+    query = held.writeStream.format("memory").queryName("held").outputMode("append").trigger(processingTime="1 second").start()
+    try:
+        began, early = time.time(), None
+        while (n := spark.table("held").count()) < 3 and time.time() - began < 60:
+            early = n if early is None and query.lastProgress else early
+            time.sleep(0.5)
+        assert early == 0
+        assert sorted(r["row"] for r in spark.table("held").collect()) == ['{"k":"a","v":1}', '{"k":"a","v":2}', '{"v":3}']
+    finally:
+        query.stop()
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
