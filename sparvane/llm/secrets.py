@@ -26,7 +26,21 @@ LABELS = (
     "access[_-]?key", "private[_-]?key", "client[_-]?secret", "auth", "authorization", "credential", "signature", "sig", "key",
 )
 
+#: Labels in the corpus's other languages. Chinese ones stand amid other characters, the others begin a word.
+LABELS_ZH = ("密码", "密碼", "口令", "密钥", "密鑰", "令牌")
+LABELS_ABROAD = ("contrase(ñ|Ñ|ñ|n)a", "clave", "secreto", "kennwort", "schl(ü|Ü|ü|ue)ssel")
+#: What opens a user and a password in prose: ``The login for a is b / c``.
+LOGINS = ("log-?in", "log-?on", "sign-?in", "credential", "creds", "zugangsdaten", "anmeldedaten", "credencial", "acceso", "登录", "登錄", "登入", "账号", "帐号", "賬號")
+
 _LABEL = "(" + "|".join(LABELS) + ")"
+_ZH, _ABROAD, _LOGIN = ("(" + "|".join(x) + ")" for x in (LABELS_ZH, LABELS_ABROAD, LOGINS))
+
+
+def _bytes(pattern: str) -> str:
+    """A pattern over the bytes of UTF-8, as the automaton reads them."""
+    return pattern.encode().decode("latin-1")
+
+
 #: What the automaton looks for: as much of each grammar as tells it apart, so that it stays small.
 MARKS = {
     "format": r"_(live|prod|srv|test|dev)_[a-z0-9]|eyj[a-z0-9_-]|gh[pousr]_|akia[a-z0-9]|xox[abprs]-|aiza[a-z0-9_-]|sk-[a-z0-9_-]",
@@ -36,6 +50,8 @@ MARKS = {
     "scheme": r"(bearer|basic)\s+[a-z0-9+/_.=-]",
     "account": r"(-u|--user)\s+[\"']?[^\s:\"']+:",
     "literal": r"=\s*[\"'`][a-z0-9+/_.-]{6}",
+    "abroad": _bytes(rf"({_ZH}[\"'`]?\s*(:|=|：|＝|是|为|為)|{_ABROAD}[\"'`]?\s*(:|=|：|＝)|{_LABEL}[\"'`]?\s*(：|＝))"),
+    "login": _bytes(_LOGIN),
 }
 
 _FORMAT = re.compile(
@@ -50,7 +66,17 @@ _LABELLED = re.compile(
     rf"(?i:(?<![A-Za-z0-9])(?:[A-Za-z0-9_.-]*[_.-])?|(?<=[a-z0-9])(?=[A-Z]))(?i:{_LABEL.replace('(', '(?:', 1)})\\?[\"'`]?[ \t]{{0,8}}[:=][ \t]{{0,8}}"
     rf"(?:\\?{_QUOTED}|(?P<raw>[^\s\"'`,;&(){{}}\[\]]+(?:&[^\s\"'`,;&=(){{}}\[\]]+(?=$|[\n;]))?))"
 )
-_WHOLE = re.compile(rf"(?i:^(?:[a-z0-9.-]*[_.-])?{_LABEL.replace('(', '(?:', 1)}$|^(?:[a-z0-9_]*[a-z0-9])?(?-i:Password|Secret|Token|ApiKey)$)")
+#: A password in prose: no space, quote, bracket or wide character; a comma or the like at its end is the sentence's.
+_WORD = r"(?P<v>(?!https?://)[^\s\"'`(){}\[\]<>\u3000-\u9fff\uff00-\uffef]+(?<![.,;:]))"
+_GAP = r"[\"'`]?[ \t]{0,8}"
+_FOREIGN = re.compile(
+    rf"(?i:(?:{_ZH}{_GAP}[:=：＝是为為]|(?<![^\W_]){_ABROAD}{_GAP}[:=：＝]|(?<![A-Za-z0-9])(?:[A-Za-z0-9_.-]*[_.-])?{_LABEL}{_GAP}[：＝]))[ \t\u3000]{{0,8}}[\"'`]?{_WORD}"
+)
+_LOGGED = re.compile(
+    rf"(?i:{_LOGIN}[a-z]{{0,3}}(?:\s+[^\s]{{1,80}}){{0,12}}?(?:\s+(?:is|are|ist|sind|lautet|lauten|es|son)\b|\s{{0,3}}[:：是为為])[:：]?)\s{{0,3}}"
+    rf"[\"'`]?[^\s/:\"'`]{{1,80}}[\"'`]?\s{{0,3}}/\s{{0,3}}[\"'`]?{_WORD}"
+)
+_WHOLE = re.compile(rf"(?i:^(?:{_ZH}|{_ABROAD})$|^(?:[a-z0-9.-]*[_.-])?{_LABEL.replace('(', '(?:', 1)}$|^(?:[a-z0-9_]*[a-z0-9])?(?-i:Password|Secret|Token|ApiKey)$)")
 _SCHEME = re.compile(r"\b(?:[Bb]earer|BEARER|[Bb]asic|BASIC)\s{1,3}(?P<v>[A-Za-z0-9+/_.=-]{8,})")
 _ACCOUNT = re.compile(r"(?:^|\s)(?:-u|--user)\s{1,3}[\"']?[^\s:\"']{1,80}:(?P<v>[^\s\"']{4,})")
 _LITERAL = re.compile(r"=\s{0,8}" + _QUOTED)
@@ -102,7 +128,13 @@ def secret_spans(name: str, value: str) -> list[tuple[int, int, str]]:
     for m in _FORMAT.finditer(armored):
         if not _PLACEHOLDER.match(m[0]):
             found.append((*m.span(), "token"))
-    for pattern, kind in ((_CONNECTION, "password"), (_ACCOUNT, "password"), (_SCHEME, "token")):
+    for pattern, kind in (
+        (_CONNECTION, "password"),
+        (_ACCOUNT, "password"),
+        (_SCHEME, "token"),
+        (_FOREIGN, "password"),
+        (_LOGGED, "password"),
+    ):
         for m in pattern.finditer(armored):
             if is_literal(m["v"]):
                 found.append((*m.span("v"), kind))

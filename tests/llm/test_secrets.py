@@ -93,3 +93,32 @@ def test_operator(spark):
     assert first["nodes"][len(parameters) - 3]["parameters"]["long"] == long.replace(RANDOM, "<token-redacted>")
     assert [n["parameters"] for n in first["nodes"]][len(HELD) : len(HELD + FREE)] == parameters[len(HELD) : len(HELD + FREE)]
     assert secrets.find_secrets(secrets.parameters(files.limit(0))).count() == 0
+
+
+PROSE = [
+    ("note", "回模密码：K1Bga9i0Ke6PGW，步流库", "K1Bga9i0Ke6PGW"),
+    ("note", "Password：Ya8tTrac0&aja5。", "Ya8tTrac0&aja5"),
+    ("note", "密码是 doseni.BRANJU84，导", "doseni.BRANJU84"),
+    ("content", "The login for liheto is leloho / salhazojo.KAVELU39 until friday", "salhazojo.KAVELU39"),
+    ("content", "x.\nCredentials for the shop are me@a.example / Herabobi!4059.", "Herabobi!4059"),
+    ("content", "La contraseña: Ab9xyz12kk, y nada", "Ab9xyz12kk"),
+    ("content", "Das Kennwort: Ab9xyz12kk.", "Ab9xyz12kk"),
+    ("密码", "Ab9xyz12kk", "Ab9xyz12kk"),
+]
+PLAIN = [
+    ("note", "密码：请见 wiki"), ("note", "密码：********"), ("note", "密码：{{ $vars.abc1 }}"), ("content", "The login for a is at team / docs."),
+    ("content", "The login for liheto is on https://a.example/b1C2d3e4"), ("content", "La clave: ninguna"),
+]
+
+
+def test_prose(spark):
+    for name, value, secret in PROSE:
+        spans = secrets.secret_spans(name, value)
+        assert [value[a:b] for a, b, _ in spans] == [secret]
+        assert secrets.redact(value, spans) == value.replace(secret, "<password-redacted>")
+        assert secrets.secret_spans(name, secrets.redact(value, spans)) == []
+    for name, value in PLAIN:
+        assert secrets.secret_spans(name, value) == []
+    rows = [(k, 0, n, v) for k, (n, v, *_) in enumerate(PROSE + PLAIN)]
+    values = spark.createDataFrame(rows, "file_id long, node_pos int, param string, value string")
+    assert {r["file_id"] for r in secrets.find_secrets(values).collect()} == set(range(len(PROSE)))
