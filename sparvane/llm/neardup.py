@@ -3,10 +3,12 @@
 One hash of each shingle serves all bins of a signature: its high part picks the bin, the
 smallest rest is the bin's value. Empty bins take the value of another bin, chosen by a hash
 of the bin and the attempt until a full one is met (optimal densification), so signatures of
-small sets agree as often as their sets do. Bands of a signature are buckets; a bucket gives
-edges from its smallest member to the others, and from each member to the next, so its pairs grow
-with its size, not the square. Edges are checked exactly against the sets; members that were found alike to the same
-one are then checked against each other, which finds the pairs that a star leaves out.
+small sets agree as often as their sets do. Bands of a signature are buckets. A bucket of up to ``FULL``
+members gives every pair. A crowded one gives edges from its smallest member to the others and from
+each member to the next, and its members are joined once more by the rarest shingles of their sets
+(prefix filter), which leaves out no alike pair. Edges are checked exactly against the sets; members
+that were found alike to the same one are then checked against each other, which also finds pairs
+that share no bucket.
 
 Records of equal words are one class; only its smallest id is banded and compared.
 """
@@ -21,13 +23,15 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
 
 THRESHOLD = 0.7
 BANDS, ROWS = 40, 5
+#: Buckets of so many members or fewer give every pair.
+FULL = 256
 _WORDS = re.compile(r"[^\W_]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -129,24 +133,61 @@ def _band_rows(kind: tuple, field: str, bands: int, rows: int):
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by band and id to edges from each bucket's first member, and from the member just before.
+    """Rows sorted by band and id to edges: all within the first ``FULL`` members of a bucket, then star edges.
 
-    A bucket of m members gives at most 2 m - 3 edges; none is held.
+    A member after those has edges from the first member and from the member just before. Each member of
+    such a crowded bucket also gives an edge to itself. The last ``FULL`` rows are held, no bucket is.
     """
-    band = hub = last = None
+    bands, ids, places = (np.empty(0, np.int64) for _ in range(3))
     for batch in batches:
         if not batch.num_rows:
             continue
-        bands, ids = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        first = np.concatenate([[bands[0] != band if band is not None else True], bands[1:] != bands[:-1]])
-        at = np.maximum.accumulate(np.where(first, np.arange(len(ids)), -1))
-        hubs = np.where(at >= 0, ids[at], hub if hub is not None else 0)
-        before = np.concatenate([[last if last is not None else 0], ids[:-1]])
-        band, hub, last = bands[-1], hubs[-1], ids[-1]
-        star = ids > hubs
-        step = star & (before > hubs) & (before < ids)
-        ends = np.concatenate([hubs[star], before[step]]), np.concatenate([ids[star], ids[step]])
-        yield pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], names=["id_a", "id_b"])
+        held = len(ids)
+        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        bands, ids = np.concatenate([bands, new[0]]), np.concatenate([ids, new[1]])
+        again = np.concatenate([[False], (bands[1:] == bands[:-1]) & (ids[1:] == ids[:-1])])  # rows delivered twice
+        bands, ids = bands[~again], ids[~again]
+        first = np.concatenate([[True], bands[1:] != bands[:-1]])
+        at = np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))
+        place, hubs = np.arange(len(ids)) - at, ids[at]
+        if held:  # the bucket that was cut goes on from where it stood
+            goes_on = at == 0
+            place[goes_on] += places[0]
+            hubs[goes_on] = hub_of_held
+        a, b = [], []
+        fresh = np.arange(len(ids)) >= held
+        for lag in range(1, min(FULL, len(ids))):
+            own = np.flatnonzero(fresh & (place >= lag) & ((place < FULL) | (lag == 1)))
+            a.append(ids[own - lag])
+            b.append(ids[own])
+        late = fresh & (place >= FULL)
+        a += [hubs[late], ids[late]]
+        b += [ids[late], ids[late]]
+        over = np.flatnonzero(fresh & (place == FULL))
+        for lag in range(1, FULL + 1):
+            a.append(ids[over - lag])
+            b.append(ids[over - lag])
+        keep = max(len(ids) - FULL, 0)
+        bands, ids, places, hub_of_held = bands[keep:], ids[keep:], place[keep:], hubs[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["id_a", "id_b"])
+
+
+def _tokens(kind: tuple):
+    """(id, text) to (token, id, size), one row per member of the text's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(*kind)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                sets = shingles.sets(part.column(1).to_pylist())
+                size = np.fromiter(map(len, sets), np.int64, len(sets))
+                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(sets).view(np.int64)), pa.array(ids, pa.int64()), pa.array(np.repeat(size, size))], names=["token", "id", "n"]
+                )
+
+    return run
 
 
 def _alike(kind: tuple, threshold: float):
@@ -202,12 +243,14 @@ class NearDuplicates:
         reps = frame.join(classes.where("id != rep").select("id"), "id", "left_anti")
         banded = reps.select("id", "text").mapInArrow(_band_rows(kind, field, bands, rows), "band long, id long")
         stars = banded.repartition("band").sortWithinPartitions("band", "id").mapInArrow(_stars, "id_a long, id_b long")
-        edges = materialize(stars.distinct(), f"stars-{field}")
+        stars = materialize(stars.distinct(), f"stars-{field}")
+        edges, crowded = stars.where("id_a != id_b"), stars.where("id_a = id_b").select(F.col("id_a").alias("id"))
         # A class with no run at all has no similarity, not even to itself.
         runs = reps.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", F.col("id"), "text", "text")
         runs = runs.toDF("id_a", "id_b", "text_a", "text_b").mapInArrow(_alike(kind, self.threshold), "id_a long, id_b long")
         classes = materialize(classes.join(runs.select(F.col("id_a").alias("rep")).distinct(), "rep", "left_semi"), f"classes-{field}")
-        return classes, reps, edges, materialize(self._checked(edges, reps, kind), f"alike-{field}")
+        first = materialize(self._checked(edges, reps, kind), f"alike-{field}")
+        return classes, reps, edges, crowded, first
 
     @property
     def classes(self) -> DataFrame:
@@ -216,13 +259,51 @@ class NearDuplicates:
 
     @property
     def star_links(self) -> DataFrame:
-        """``(field, id_a, id_b)``: the star edges that hold; they connect whatever is connected."""
+        """``(field, id_a, id_b)``: the edges that hold, of crowded buckets the star edges alone."""
         return reduce(DataFrame.union, [links.select(part, "id_a", "id_b") for part, *_, links in self.parts])
 
+    def _crowd(self, reps: DataFrame, crowded: DataFrame, edges: DataFrame, kind: tuple, labels: DataFrame) -> DataFrame:
+        """``(id_a, id_b)``: what can be alike between members of crowded buckets of different labels, but for ``edges``.
+
+        Tokens are ordered from the rarest on. Two sets that are alike share one among the first
+        ``n - threshold * n + 1`` of each, and from the first that they share on, enough are left in both.
+        """
+        t = self.threshold
+        sets = reps.join(crowded, "id", "left_semi").dropDuplicates(["id"]).select("id", "text").mapInArrow(_tokens(kind), "token long, id long, n long")
+        sets = materialize(sets, "crowd-sets")
+        often = sets.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
+        shared = sets.join(often, "token")
+        own = Window.partitionBy("id")
+        place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("times", "token"))  # tokens of one set alone come first
+        heads = shared.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * t - 1e-9) + 1)
+        heads = heads.select("token", "id", "n", "place").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        mixed = heads.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
+        heads = materialize(heads.join(mixed, "token", "left_semi"), "crowd-heads")
+        a, b = (heads.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "place", "label")]) for x in "ab")
+        left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) + 1
+        enough = (F.col("n_a") + F.col("n_b")) * (t / (1 + t)) - 1e-6
+        near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * t - 1e-6
+        found = a.join(b, "token").where((F.col("id_a") < F.col("id_b")) & (F.col("label_a") != F.col("label_b")) & near & (left >= enough))
+        return materialize(found.select("id_a", "id_b").distinct().join(edges, ["id_a", "id_b"], "left_anti"), "crowd-edges")
+
+    def _of_crowds(self, labels: DataFrame | None = None) -> list[tuple[DataFrame, DataFrame] | None]:
+        """Per part the edges within crowded buckets that no star gave, and those of them that hold; None where no bucket is crowded."""
+        out = []
+        for field, kind, _, reps, edges, crowded, _ in self.parts:
+            if crowded.isEmpty():
+                out.append(None)
+                continue
+            own = labels.where(F.col("field") == field).select("id", "label") if labels is not None else crowded.select("id", F.col("id").alias("label"))
+            more = self._crowd(reps, crowded, edges, kind, own)
+            out.append((more, materialize(self._checked(more, reps, kind), "crowd-links")))
+        return out
+
     def links(self) -> DataFrame:
-        """``(field, id_a, id_b)`` between classes: star edges, and pairs that are alike to the same one."""
+        """``(field, id_a, id_b)`` between classes: all that share a bucket, and pairs that are alike to the same one."""
         out = []
-        for field, kind, _, reps, edges, first in self.parts:
+        for (field, kind, _, reps, edges, _, first), crowd in zip(self.parts, self._of_crowds()):
+            if crowd is not None:
+                edges, first = edges.union(crowd[0]), first.union(crowd[1])
             ends = first.union(first.select("id_b", "id_a")).toDF("x", "y")
             two, three = ends.alias("two"), ends.alias("three")
             gaps = two.join(three, (F.col("two.x") == F.col("three.x")) & (F.col("two.y") < F.col("three.y")))

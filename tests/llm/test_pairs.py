@@ -6,6 +6,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 
 from sparvane.llm import cooccur, neardup
 
@@ -57,6 +58,34 @@ def test_near_duplicates(spark):
     assert empty.pairs().count() == 0 and empty.groups().count() == 0
 
 
+def test_bucket_edges():
+    """All pairs of a bucket of up to FULL members, the members of a larger one by name, whatever the batches."""
+    full = neardup.FULL
+    sizes = {5: 6, 6: 1, 7: full, 8: full + 1, 9: 2 * full + 9, 10: 2}
+    rows = [(b, 1000 * b + k) for b, m in sizes.items() for k in range(m) for _ in range(1 + k % 2)]  # some rows twice
+    for step in (7, 300, 2000):
+        parts = [rows[k : k + step] for k in range(0, len(rows), step)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p)], names=["band", "id"]) for p in parts]
+        got = {e for out in neardup._stars(iter(batches)) for e in zip(*(c.to_pylist() for c in out.columns))}
+        for b, m in sizes.items():
+            own, ids = {e for e in got if e[0] // 1000 == b}, [1000 * b + k for k in range(m)]
+            pairs = set(combinations(ids[:full], 2)) | {(ids[0], i) for i in ids[1:]} | set(zip(ids, ids[1:]))
+            assert own == pairs | ({(i, i) for i in ids} if m > full else set())
+
+
+def test_crowded_buckets(spark):
+    """Names of one template share buckets in thousands; those that are alike are few."""
+    rnd = random.Random(8)
+    rows = [(k, "weekly sales report for the " + "".join(rnd.choice("abc") for _ in range(12))) for k in rnd.sample(range(9000), 1200)]
+    kind = (3, True, 20)
+    frame = spark.createDataFrame(rows, "id long, text string")
+    near = neardup.NearDuplicates([("f", frame, kind)])
+    assert near.parts[0][5].count() > 500
+    want = brute(rows, kind)
+    got = [tuple(r)[1:] for r in near.pairs().collect()]
+    assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.999 * len(want)
+
+
 def test_signatures_estimate():
     rnd = np.random.default_rng(1)
     for share in (0.5, 0.8):
