@@ -337,12 +337,26 @@ class NearDuplicates:
         return out.union(same.select(F.col("one.field"), F.col("one.member"), F.col("two.member")))
 
     def groups(self, rounds: int = 30) -> DataFrame:
-        """``(field, id, group_id)`` of each record in a group: connected components of the star links.
+        """``(field, id, group_id)`` of each record in a group: connected components of all links that share a bucket.
+
+        Within crowded buckets, only members whose star links have not connected them yet are compared.
+        """
+        labels = self._labels(self.star_links, rounds)
+        crowds = [found[1].select(part[0], "id_a", "id_b") for part, found in zip(self.parts, self._of_crowds(labels)) if found is not None]
+        if any(not links.isEmpty() for links in crowds):
+            labels = self._labels(reduce(DataFrame.union, crowds, self.star_links), rounds)
+        rep = labels.select("field", F.col("id").alias("rep"), F.col("label"))
+        whole = self.classes.join(rep, ["field", "rep"], "left").select("field", "id", F.coalesce("label", "rep").alias("group_id"))
+        alone = labels.join(self.classes, ["field", "id"], "left_anti").select("field", "id", F.col("label").alias("group_id"))
+        return whole.union(alone)
+
+    def _labels(self, links: DataFrame, rounds: int) -> DataFrame:
+        """``(field, id, label)``: the least id of each component of the links.
 
         Each round takes the least label among neighbours and then that label's own label, so
         paths halve; it ends when nothing changes.
         """
-        ends = self.star_links.union(self.star_links.select("field", "id_b", "id_a")).toDF("field", "id", "other")
+        ends = links.union(links.select("field", "id_b", "id_a")).toDF("field", "id", "other")
         labels = materialize(ends.groupBy("field", "id").agg(F.least(F.min("id"), F.min("other")).alias("label")), "labels")
         for _ in range(rounds):
             near = ends.join(labels.withColumnsRenamed({"id": "other"}), ["field", "other"]).select("field", "id", "label")
@@ -354,13 +368,8 @@ class NearDuplicates:
             changed = new.join(labels.withColumnRenamed("label", "was"), ["field", "id"]).where("label < was").limit(1).count()
             labels = new
             if not changed:
-                break
-        else:
-            raise RuntimeError(f"groups have not settled after {rounds} rounds")
-        rep = labels.select("field", F.col("id").alias("rep"), F.col("label"))
-        whole = self.classes.join(rep, ["field", "rep"], "left").select("field", "id", F.coalesce("label", "rep").alias("group_id"))
-        alone = labels.join(self.classes, ["field", "id"], "left_anti").select("field", "id", F.col("label").alias("group_id"))
-        return whole.union(alone)
+                return labels
+        raise RuntimeError(f"groups have not settled after {rounds} rounds")
 
 
 def file_texts(files: DataFrame) -> DataFrame:

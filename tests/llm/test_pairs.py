@@ -84,6 +84,11 @@ def test_crowded_buckets(spark):
     want = brute(rows, kind)
     got = [tuple(r)[1:] for r in near.pairs().collect()]
     assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.999 * len(want)
+    least = {i: i for p in want for i in p}
+    for _ in range(50):
+        for a, b in want:
+            least[a] = least[b] = min(least[a], least[b])
+    assert {r["id"]: r["group_id"] for r in near.groups().collect()} == least
 
 
 def test_signatures_estimate():
