@@ -207,8 +207,8 @@ def change_log(files: DataFrame, schema_fields: DataFrame) -> DataFrame:
     return log.orderBy("first_seen", "level", "field", "change", "detail")
 
 
-_NODE = "struct<id:string,name:string,type:string,type_version:double,position:string,parameters:string,credentials:string,disabled:boolean,notes:string>"
-_LINK = "struct<source:string,port:string,slot:int,node:string,type:string,`index`:double>"
+_NODE = "struct<id:string,name:string,type:string,type_version:double,position:string,parameters:string,credentials:string,disabled:boolean,notes:string,extra:string>"
+_LINK = "struct<source:string,port:string,slot:int,node:string,type:string,`index`:double,extra:string>"
 UNIFORM = (
     "raw_id long, name string, active boolean, created_at string, updated_at string, settings string, static_data string, tags string, "
     f"nodes array<{_NODE}>, links array<{_LINK}>, extra string"
@@ -239,37 +239,55 @@ def uniform(files: DataFrame, schema_fields: DataFrame) -> DataFrame:
     """One row per parsable file in the agreed layout; the latest delivery of each ``raw_id`` counts.
 
     Fields under a stand-in's name are moved to the agreed one, values of other types are cast.
-    Unknown fields of the file level stay, as JSON, in ``extra``.
+    What that leaves no place for stays, as JSON, in the ``extra`` of its file, node or link: unknown
+    fields, values that cannot be cast, and nodes or connections that hold anything of another shape.
     """
     layout = Layout.read(schema_fields)
     weight = name_weights(files, layout)
 
     def row(level, obj):
         instead = stand_ins(level, obj, layout, weight)
-        return {f: cast(obj.get(instead.get(f, f)), kind) for f, (kind, _) in layout.fields[level].items()}
+        out = {f: cast(obj.get(instead.get(f, f)), kind) for f, (kind, _) in layout.fields[level].items()}
+        placed = {instead.get(f, f) for f, v in out.items() if v is not None}
+        extra = {f: v for f, v in obj.items() if f not in placed and (v is not None or f not in out)}
+        return out | {"extra": extra}
+
+    def told(extra):
+        return json.dumps(extra, ensure_ascii=False) if extra else None
 
     def one(key, body):
         file = row("file", body)
         named = stand_ins("file", body, layout, weight)
         body = body | {f: body[u] for f, u in named.items()}
-        nodes = []
-        for n in body["nodes"] if isinstance(body.get("nodes"), list) else ():
+        nodes, links, odd = [], [], set()
+
+        def each(value, kind, field):
+            """The members of a list or object; a value of another type but null is kept in the file's ``extra``."""
+            if isinstance(value, kind):
+                return value.items() if kind is dict else value
+            if value is not None:
+                odd.add(field)
+            return ()
+
+        for n in each(body.get("nodes"), list, "nodes"):
+            each(n, dict, "nodes")
             if isinstance(n, dict):
                 x = row("node", n)
                 x["type_version"] = x.pop("typeVersion", None)
-                nodes.append(x)
-        links = []
-        for source, ports in (body["connections"] if isinstance(body.get("connections"), dict) else {}).items():
-            for port, slots in (ports if isinstance(ports, dict) else {}).items():
-                for slot, some in enumerate(slots if isinstance(slots, list) else ()):
-                    for x in some if isinstance(some, list) else ():
+                nodes.append(x | {"extra": told(x["extra"])})
+        for source, ports in each(body.get("connections"), dict, "connections"):
+            for port, slots in each(ports, dict, "connections"):
+                for slot, some in enumerate(each(slots, list, "connections")):
+                    for x in each(some, list, "connections"):
+                        each(x, dict, "connections")
                         if isinstance(x, dict):
-                            links.append({"source": source, "port": port, "slot": slot, **row("link", x)})
-        extra = {f: v for f, v in body.items() if f not in layout.fields["file"] and f not in named.values()}
+                            x = row("link", x)
+                            links.append({"source": source, "port": port, "slot": slot, **x, "extra": told(x["extra"])})
+        extra = file["extra"] | {f: body[f] for f in sorted(odd)}
         return {
             "raw_id": key, "name": file["name"], "active": file["active"], "created_at": file["createdAt"], "updated_at": file["updatedAt"],
             "settings": file["settings"], "static_data": file["staticData"], "tags": file["tags"], "nodes": nodes, "links": links,
-            "extra": json.dumps(extra, ensure_ascii=False) if extra else None,
+            "extra": told(extra),
         }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,7 +307,7 @@ _S, _D, _B = pa.string(), pa.float64(), pa.bool_()
 _UNIFORM = pa.schema(
     [("raw_id", pa.int64()), ("name", _S), ("active", _B), *[(c, _S) for c in ("created_at", "updated_at", "settings", "static_data", "tags")],
      ("nodes", pa.list_(pa.struct([("id", _S), ("name", _S), ("type", _S), ("type_version", _D), ("position", _S), ("parameters", _S),
-                                   ("credentials", _S), ("disabled", _B), ("notes", _S)]))),
-     ("links", pa.list_(pa.struct([("source", _S), ("port", _S), ("slot", pa.int32()), ("node", _S), ("type", _S), ("index", _D)]))),
+                                   ("credentials", _S), ("disabled", _B), ("notes", _S), ("extra", _S)]))),
+     ("links", pa.list_(pa.struct([("source", _S), ("port", _S), ("slot", pa.int32()), ("node", _S), ("type", _S), ("index", _D), ("extra", _S)]))),
      ("extra", _S)]
 )

@@ -75,3 +75,23 @@ def test_union_schema_and_empty(spark):
     got = {r["field"]: (r["json_type"], r["agreed"]) for r in drift.union_schema(files, agreed).collect()}
     assert got == {"a": ("string", False), "b": ("string", False), "c": ("number", False), "name": ("string", True)}
     assert drift.changes(files.limit(0), layout).count() == 0 and drift.uniform(files.limit(0), layout).count() == 0
+
+
+def test_table_keeps_what_has_no_place(spark):
+    bodies = [
+        (1, json.dumps(GOOD | {"nodes": [{"id": "1", "name": "n", "typeVersion": "two", "color": 3, "disabled": None}, 7], "active": "maybe"})),
+        (2, json.dumps(GOOD | {"nodes": {"id": 1}, "connections": [1]})),
+        (3, json.dumps(link(node="b", type="main", index=0, label="l"))),
+        (4, json.dumps(GOOD | {"active": "yes", "tags": "a"})),
+    ]
+    files, layout = frames(spark, bodies)
+    table = {r["raw_id"]: r for r in drift.uniform(files, layout).collect()}
+    told = {k: json.loads(r["extra"]) if r["extra"] else None for k, r in table.items()}
+    assert told == {
+        1: {"active": "maybe", "nodes": json.loads(bodies[0][1])["nodes"]},
+        2: {"nodes": {"id": 1}, "connections": [1]},
+        3: {"connections": json.loads(bodies[2][1])["connections"]},
+        4: None,
+    }
+    assert json.loads(table[1]["nodes"][0]["extra"]) == {"typeVersion": "two", "color": 3}
+    assert json.loads(table[3]["links"][0]["extra"]) == {"label": "l"} and table[4]["active"] is True and table[4]["tags"] == '"a"'
