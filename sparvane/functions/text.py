@@ -195,14 +195,14 @@ def split_comma_list(text: Column) -> Column:
 
 
 def filename_parts(filename: Column) -> Column:
-    """``NNNN_Service[_Service]_Action_Kind[.json]`` as a struct; parts that are not there are null."""
+    """``N_Service[_Service]_Action_Kind[.json]`` as a struct, N of 1 to 18 digits; parts that are not there are null."""
     stem = F.regexp_replace(filename, r"\.json$", "")
     parts = F.split(stem, "_")
-    numbered = F.element_at(parts, 1).rlike(r"^\d{4}$")
+    numbered = F.element_at(parts, 1).rlike(r"^\d{1,18}$")
     rest = F.when(numbered, F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
     n = F.size(rest)
     return F.struct(
-        F.when(numbered, F.element_at(parts, 1).cast("int")).alias("number"),
+        F.when(numbered, F.element_at(parts, 1).cast("long")).alias("number"),
         F.when(n >= 2, F.array_join(F.slice(rest, F.lit(1), F.greatest(n - 2, F.lit(0))), "_")).alias("services"),
         F.when(n >= 2, F.try_element_at(rest, n - 1)).alias("action"),
         F.when(n >= 1, F.try_element_at(rest, n)).alias("kind"),

@@ -135,6 +135,14 @@ def node_profile(spark: SparkSession, d: str) -> DataFrame:
 def filename_parts(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "workflows").where(F.col("filename").rlike(r"^[0-9]{4}_[A-Za-z]+_[A-Za-z_]+\.json$"))
     rows = rows.withColumn("p", text.filename_parts(F.col("filename")))
+    return rows.select("wf_id", "filename", F.col("p.number").cast("int").alias("number"), "p.kind")
+
+
+@query("""SELECT wf_id, filename, CASE WHEN regexp_matches(parts[1], '^[0-9]{1,18}$') THEN parts[1]::BIGINT END AS number,
+                 CASE WHEN len(parts) > 1 OR NOT regexp_matches(parts[1], '^[0-9]{1,18}$') THEN parts[-1] END AS kind
+          FROM (SELECT wf_id, filename, string_split(regexp_replace(filename, '\\.json$', ''), '_') AS parts FROM workflows WHERE filename IS NOT NULL)""")
+def filename_parts_all(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "workflows").where(F.col("filename").isNotNull()).withColumn("p", text.filename_parts(F.col("filename")))
     return rows.select("wf_id", "filename", "p.number", "p.kind")
 
 

@@ -168,3 +168,11 @@ def test_digest(spark):
     assert page["text"].index("financial_reports") < page["text"].index("product_launches") and "u&lt;" in page["html"]
     companies = spark.createDataFrame([("Acme Inc", "ACME"), ("Other", "other")], "company string, token string")
     assert rows(digest.match_companies(records, companies, "id", "summary")) == [(1, "Acme Inc"), (2, "Acme Inc")]
+
+
+def test_filename_numbers_of_any_length(spark):
+    names = ["24463_Kelvano_Import_Manual.json", "7_a_b.json", "0042.json", "x_y.json", "123456789012_S_Do_It.json"]
+    rows = spark.createDataFrame([(n,) for n in names], "f string").select(text.filename_parts(F.col("f")).alias("p")).collect()
+    assert [tuple(r["p"]) for r in rows] == [
+        (24463, "Kelvano", "Import", "Manual"), (7, "", "a", "b"), (42, None, None, None), (None, "", "x", "y"), (123456789012, "S", "Do", "It"),
+    ]
