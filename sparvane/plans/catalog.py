@@ -212,6 +212,14 @@ def url_parts(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("p", text.url_parts(F.col("url"))).select("file_id", "node_pos", "p.protocol", "p.host", "p.path")
 
 
+@query()
+def url_parts_all(spark: SparkSession, d: str) -> DataFrame:
+    """Of every url that is not null; SQL has no parser for the full form, so a fixture tests it."""
+    rows = table(spark, d, "workflow_json").select("file_id", F.posexplode("nodes").alias("node_pos", "n"))
+    rows = rows.select("file_id", "node_pos", F.col("n.parameters")["url"].alias("url")).where(F.col("url").isNotNull())
+    return rows.withColumn("p", text.url_parts(F.col("url"))).select("file_id", "node_pos", "p.protocol", "p.host", "p.path", "p.query")
+
+
 @query("""SELECT file_id, k::INT AS node_pos, CASE WHEN m LIKE '[%' THEN array_to_string(regexp_extract_all(m, '[A-Z]+'), '+') ELSE m END AS methods FROM (
           SELECT file_id, generate_subscripts(nodes, 1) - 1 AS k, unnest(nodes).parameters['method'] AS m FROM workflow_json) WHERE m IS NOT NULL
           AND regexp_matches(m, '^([A-Z]+|\\[''[A-Z'', ]+''\\])$')""")

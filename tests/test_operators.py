@@ -176,3 +176,14 @@ def test_filename_numbers_of_any_length(spark):
     assert [tuple(r["p"]) for r in rows] == [
         (24463, "Kelvano", "Import", "Manual"), (7, "", "a", "b"), (42, None, None, None), (None, "", "x", "y"), (123456789012, "S", "Do", "It"),
     ]
+
+
+def test_url_parts_of_every_url(spark, tmp_path):
+    from sparvane.plans import registry
+
+    urls = ["https://a.example/b/c?x=1&y=2", "HTTP://me:pw@A.example:8080/B?q", "ftp://a.example", "https://a.example/b#end", "no url at all", None]
+    want = [("https", "a.example", "/b/c", "x=1&y=2"), ("HTTP", "A.example", "/B", "q"), ("ftp", "a.example", "", None), ("https", "a.example", "/b", None), (None,) * 4]
+    nodes = [{"parameters": {"url": u}} for u in urls]
+    spark.createDataFrame([(1, nodes)], "file_id long, nodes array<struct<parameters:map<string,string>>>").write.parquet(f"{tmp_path}/workflow_json.parquet")
+    got = sorted((tuple(r) for r in registry.queries()["url_parts_all"](spark, str(tmp_path)).collect()), key=lambda r: r[1])
+    assert got == [(1, k, *w) for k, w in enumerate(want)]
