@@ -305,7 +305,7 @@ def _rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def flatten_links(files: DataFrame) -> DataFrame:
     """Link rows between nodes of a file that exist; see ``flatten``."""
     rows = files.where(F.size("nodes") > 0).select(F.col("file_id").cast("long"), F.col("nodes.name").alias("names"), "connections")
-    return rows.where(F.ltrim("connections").startswith("{")).mapInArrow(_links, _FLAT)
+    return rows.where(F.col("connections").rlike(r"^[ \t\r\n]*\{")).mapInArrow(_links, _FLAT)
 
 
 def flatten_rules(files: DataFrame) -> DataFrame:

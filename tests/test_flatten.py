@@ -94,3 +94,10 @@ def test_flatten(spark):
     assert set(got) == reference(plain)
     assert flatten.flatten(frame.limit(0)).count() == 0
     assert flatten.node_table(frame).where("file_id = 2").count() == 2
+
+
+def test_links_after_any_json_white_space(spark):
+    links = '{"a":{"main":[[{"node":"b","type":"main","index":0}]]}}'
+    rows = [(k, [("a",), ("b",)], lead + links) for k, lead in enumerate(["", " ", "\n", "\r\n", "\t", " \n\t"])]
+    files = spark.createDataFrame(rows, "file_id long, nodes array<struct<name:string>>, connections string")
+    assert sorted(r["file_id"] for r in flatten.flatten_links(files).collect()) == list(range(6))
