@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
+
 HOW = ("inner", "left", "right", "full_outer", "left_semi", "left_anti")
 
 
@@ -23,19 +25,36 @@ def merge_by_key(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner",
     return a.join(b.withColumnsRenamed(clash), on, how)
 
 
+def _spare(df: DataFrame, *names: str) -> list[str]:
+    """Column names for the time being that no column of ``df`` has, letter case aside."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def with_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
-    """0-based positions in a total order, without moving all rows to one task.
+    """0-based positions in ``order``, without moving all rows to one task.
 
-    Rows are range-partitioned, numbered within their partition, and shifted by the rows of the
-    partitions before, of which there are as many as the session's shuffle partitions.
+    Rows are range-partitioned, numbered within their partition and written to the shared folder; the
+    partitions are counted from that table, so that every row is counted and numbered in the same
+    partition. Rows that tie are told apart by where they were read, so ties spread over partitions too.
+    A column that is called ``name`` already is replaced.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    part = F.shiftright("_at", 33)
-    counts = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    numbered = ranged.withColumn("_part", part).withColumn("_in", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
-    return numbered.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_in")).drop("_part", "_at", "_in", "_start")
+    df = df.drop(name)
+    row, part, within, start = _spare(df, "_row", "_part", "_in", "_start")
+    keyed = df.withColumn(row, F.monotonically_increasing_id())
+    ranged = keyed.repartitionByRange(*order, F.col(row)).sortWithinPartitions(*order, F.col(row)).drop(row)
+    here = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = materialize(ranged.withColumns({part: F.spark_partition_id(), within: here}), "positions")
+    counts = numbered.groupBy(part).agg(F.count("*").alias("_n"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = counts.select(part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(start))
+    # As many rows as the session has shuffle partitions, whatever the data.
+    return numbered.join(F.broadcast(starts), part).withColumn(name, F.col(start) + F.col(within)).drop(part, within, start)
 
 
 def merge_by_position(a: DataFrame, b: DataFrame, order_a: list[Column], order_b: list[Column], how: str = "inner") -> DataFrame:

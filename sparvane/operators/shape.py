@@ -73,21 +73,26 @@ def stop_on(df: DataFrame, condition: Column, message: str) -> DataFrame:
     return df.where(checked)
 
 
+def ordering(keys: list[tuple[str, bool]], nulls_last: bool = True, backwards: bool = False) -> list[Column]:
+    """Sort keys of ``(column, ascending)`` pairs; ``backwards`` gives the very opposite order."""
+    out = []
+    for column, ascending in keys:
+        c, last = F.col(column), nulls_last != backwards
+        if ascending != backwards:
+            out.append(c.asc_nulls_last() if last else c.asc_nulls_first())
+        else:
+            out.append(c.desc_nulls_last() if last else c.desc_nulls_first())
+    return out
+
+
 def sort_items(df: DataFrame, *keys: tuple[str, bool], nulls_last: bool = True) -> DataFrame:
     """Sort by ``(column, ascending)``; nulls last (or first) in either direction."""
-    order = []
-    for column, ascending in keys:
-        c = F.col(column)
-        order.append((c.asc_nulls_last() if nulls_last else c.asc_nulls_first()) if ascending else (c.desc_nulls_last() if nulls_last else c.desc_nulls_first()))
-    return df.orderBy(*order)
+    return df.orderBy(*ordering(list(keys), nulls_last))
 
 
-def limit_items(df: DataFrame, n: int, order: list[Column], last: bool = False) -> DataFrame:
-    """The first (or last) ``n`` rows of a total order; a top-k per task, then one merge."""
-    if last:
-        flipped = with_position(df, order)
-        return flipped.orderBy(F.desc("position")).limit(n).drop("position")
-    return df.orderBy(*order).limit(n)
+def limit_items(df: DataFrame, n: int, keys: list[tuple[str, bool]], last: bool = False) -> DataFrame:
+    """The first (or last, from the end) ``n`` rows in the order of ``keys``: a top-k per task, then one merge."""
+    return df.orderBy(*ordering(keys, backwards=last)).limit(n)
 
 
 def split_in_batches(df: DataFrame, size: int, order: list[Column], name: str = "batch") -> DataFrame:

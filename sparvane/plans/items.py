@@ -60,13 +60,11 @@ def merge_anti(spark: SparkSession, d: str) -> DataFrame:
     return r.merge_by_key(_orders(spark, d), _customers(spark, d), ["key"], "left_anti")
 
 
-@query("""SELECT position, s_suppkey, p_partkey FROM
-          (SELECT row_number() OVER (ORDER BY s_name, s_suppkey) - 1 AS position, s_suppkey FROM supplier) JOIN
-          (SELECT row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) - 1 AS position, p_partkey FROM part) USING (position)""")
+@query("""SELECT * FROM (SELECT row_number() OVER (ORDER BY s_name, s_suppkey) - 1 AS position, * FROM supplier) JOIN
+          (SELECT row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) - 1 AS position, * FROM part) USING (position)""")
 def merge_position(spark: SparkSession, d: str) -> DataFrame:
-    a, b = table(spark, d, "supplier").select("s_suppkey", "s_name"), table(spark, d, "part").select("p_partkey", "p_retailprice")
-    merged = r.merge_by_position(a, b, [F.col("s_name"), F.col("s_suppkey")], [F.desc("p_retailprice"), F.col("p_partkey")])
-    return merged.select("position", "s_suppkey", "p_partkey")
+    a, b = table(spark, d, "supplier"), table(spark, d, "part")
+    return r.merge_by_position(a, b, [F.col("s_name"), F.col("s_suppkey")], [F.desc("p_retailprice"), F.col("p_partkey")])
 
 
 @query("SELECT n_name, r_name FROM nation CROSS JOIN region")
@@ -207,14 +205,14 @@ def rename_keys(spark: SparkSession, d: str) -> DataFrame:
     return shape.rename_keys(table(spark, d, "region"), {"r_regionkey": "id", "r_name": "label"})
 
 
-@query("SELECT event_id, ts FROM events ORDER BY ts, event_id LIMIT 25")
+@query("SELECT * FROM events ORDER BY ts, event_id LIMIT 25")
 def limit_first(spark: SparkSession, d: str) -> DataFrame:
-    return shape.limit_items(table(spark, d, "events").select("event_id", "ts"), 25, [F.col("ts"), F.col("event_id")])
+    return shape.limit_items(table(spark, d, "events"), 25, [("ts", True), ("event_id", True)])
 
 
-@query("SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 25")
+@query("SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 25")
 def limit_last(spark: SparkSession, d: str) -> DataFrame:
-    return shape.limit_items(table(spark, d, "events").select("event_id", "ts"), 25, [F.col("ts"), F.col("event_id")], last=True)
+    return shape.limit_items(table(spark, d, "events"), 25, [("ts", True), ("event_id", True)], last=True)
 
 
 @query("""SELECT wf_id, category, node_count, loaded_at FROM workflows""")
@@ -223,9 +221,9 @@ def sort_multi(spark: SparkSession, d: str) -> DataFrame:
     return shape.sort_items(rows, ("category", True), ("node_count", False), ("wf_id", True), ("loaded_at", True))
 
 
-@query("SELECT event_id, ((row_number() OVER (ORDER BY ts, event_id) - 1) // 100)::BIGINT AS batch FROM events")
+@query("SELECT *, ((row_number() OVER (ORDER BY ts, event_id) - 1) // 100)::BIGINT AS batch FROM events")
 def split_in_batches(spark: SparkSession, d: str) -> DataFrame:
-    return shape.split_in_batches(table(spark, d, "events").select("event_id", "ts"), 100, [F.col("ts"), F.col("event_id")]).select("event_id", "batch")
+    return shape.split_in_batches(table(spark, d, "events"), 100, [F.col("ts"), F.col("event_id")])
 
 
 @query("""SELECT p_partkey, 'p_size' AS variable, p_size::DOUBLE AS value FROM part
@@ -278,10 +276,10 @@ def dedupe_suffix(spark: SparkSession, d: str) -> DataFrame:
     return shape.dedupe_suffix(rows, "name", order).select("wf_id", "loaded_at", "name")
 
 
-@query("""SELECT file_id, row_number() OVER (ORDER BY updated_at DESC, file_id DESC) <= 10 AS keep FROM workflow_json""")
+@query("""SELECT file_id, repo, name, connections, updated_at, row_number() OVER (ORDER BY updated_at DESC, file_id DESC) <= 10 AS keep FROM workflow_json""")
 def retention_top_n(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "workflow_json").select("file_id", "updated_at")
-    return shape.keep_newest(rows, 10, [F.desc_nulls_last("updated_at"), F.desc("file_id")]).select("file_id", "keep")
+    rows = table(spark, d, "workflow_json").select("file_id", "repo", "name", "connections", "updated_at")
+    return shape.keep_newest(rows, 10, [F.desc_nulls_last("updated_at"), F.desc("file_id")])
 
 
 @query("""SELECT event_id, lag(value) OVER w AS previous, rank() OVER (PARTITION BY user_id ORDER BY value) AS rank,

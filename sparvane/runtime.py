@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,11 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    It is the session's ``spark.checkpoint.dir``; only where that is unset, as in tests, a
-    local folder is made and recorded in the session, so later calls agree.
+    It is the session's ``spark.checkpoint.dir``; only where that is unset and all runs in one process,
+    as in tests, a local folder is made and recorded in the session, so later calls agree. On a cluster
+    that would be another disk for every executor, so there it is an error.
     """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("sparvane.scratch.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="sparvane-")
         spark.conf.set("sparvane.scratch.dir", at)
     return f"{at.rstrip('/')}/{_RUN}"

@@ -45,6 +45,28 @@ def test_position_and_batches(spark, values):
     assert sorted(sizes, reverse=True) == [7] * (len(values) // 7) + ([len(values) % 7] if len(values) % 7 else [])
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_positions_of_rows_with_payload(spark, adaptive):
+    """More rows than the range sampler takes, wide ones, ties, and many partitions."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", "48")
+        n = 200_000
+        frame = spark.range(n).select("id", F.xxhash64("id").alias("key"), F.repeat(F.lit("x"), (F.col("id") % 90).cast("int")).alias("text"), F.lit(1).alias("_part"))
+        placed = relational.with_position(frame, [F.col("key")])
+        assert placed.columns == [*frame.columns, "position"]
+        assert placed.agg(F.count("*"), F.count_distinct("position"), F.min("position"), F.max("position")).first()[:] == (n, n, 0, n - 1)
+        assert placed.join(placed.selectExpr("position + 1 AS position", "key AS before"), "position").where("key < before").count() == 0
+        both = relational.merge_by_position(frame, frame, [F.col("key")], [F.col("key")])
+        assert both.agg(F.count("*"), F.count_if(F.col("id") == F.col("id_right"))).first()[:] == (n, n)
+        tied = relational.with_position(frame, [F.lit(1)])
+        assert tied.agg(F.count_distinct("position"), F.max("position")).first()[:] == (n, n - 1)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_branches_partition_the_input(spark):
     frame = spark.createDataFrame([(k, [True, False, None][k % 3]) for k in range(9)], "id int, c boolean")
     yes, no = shape.if_branch(frame, F.col("c"))
@@ -67,7 +89,7 @@ def test_order_and_duplicates(spark):
     assert [r["id"] for r in shape.sort_items(frame, ("v", False), ("id", True)).collect()] == [2, 3, 4, 1]
     assert rows(relational.remove_duplicates(frame, ["k"], [F.col("id").desc()]).select("id")) == [(1,), (3,), (4,)]
     assert {r["id"]: r["k"] for r in shape.dedupe_suffix(frame, "k", [F.col("id")]).collect()} == {1: "b", 2: "a", 3: "a 2", 4: None}
-    assert [r["id"] for r in shape.limit_items(frame, 2, [F.col("id")], last=True).collect()] == [4, 3]
+    assert [r["id"] for r in shape.limit_items(frame, 2, [("id", True)], last=True).collect()] == [4, 3]
 
 
 def test_asof_and_range(spark):
