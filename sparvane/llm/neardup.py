@@ -3,12 +3,14 @@
 One hash of each shingle serves all bins of a signature: its high part picks the bin, the
 smallest rest is the bin's value. Empty bins take the value of another bin, chosen by a hash
 of the bin and the attempt until a full one is met (optimal densification), so signatures of
-small sets agree as often as their sets do. Bands of a signature are buckets. A bucket of up to ``FULL``
-members gives every pair. A crowded one gives edges from its smallest member to the others and from
-each member to the next, and its members are joined once more by the rarest shingles of their sets
-(prefix filter), which leaves out no alike pair. Edges are checked exactly against the sets; members
-that were found alike to the same one are then checked against each other, which also finds pairs
-that share no bucket.
+small sets agree as often as their sets do. Bands of a signature are buckets.
+
+Records are signed once, with a sketch: a bitmap of the shingles' hashes, from which follows the
+most that two sets can have in common. A bucket of up to ``FULL`` members gives every pair that its
+sketches allow. A crowded one gives star edges from its smallest member, and its members are joined
+exactly by the rarest shingles of their sets (prefix filter), which leaves out no alike pair. A bucket
+that holds a share of all records is told by counts made while signing and never moved to one task.
+Edges are checked exactly against the sets.
 
 Records of equal words are one class; only its smallest id is banded and compared.
 """
@@ -16,6 +18,7 @@ Records of equal words are one class; only its smallest id is banded and compare
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 from itertools import chain
@@ -29,9 +32,13 @@ from pyspark.sql import functions as F
 from ..runtime import materialize
 
 THRESHOLD = 0.7
-BANDS, ROWS = 40, 5
-#: Buckets of so many members or fewer give every pair.
-FULL = 256
+BANDS, ROWS = 44, 5
+#: Buckets of so many members or fewer give every pair that sketches allow.
+FULL = 1024
+#: A bucket that holds this share of all records is hot: its members never meet in one task.
+HOT_SHARE = 0.005
+#: Records signed at once, and how many of them make a bucket worth counting.
+_CHUNK, _OFTEN = 1024, 8
 _WORDS = re.compile(r"[^\W_]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -110,66 +117,148 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, n: int, bins: int) -> np.n
     return full
 
 
-def _band_rows(kind: tuple, field: str, bands: int, rows: int):
-    """(id, text) to (band key, id), one row per band; texts without a run give none."""
+def _signed(kind: tuple, field: str, bands: int, rows: int, bits: int):
+    """(id, text) to (id, size and sketch of its set, band keys); texts without a run give none.
+
+    The last row of a task has no id: it has the buckets that many records of one chunk fell into, with
+    their counts. At most 1,000 are kept; what is left out holds less than ``HOT_SHARE`` of the task.
+    """
     seed = np.uint64(xxhash.xxh64_intdigest(field))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(*kind)
+        shingles, often = Shingles(*kind), Counter()
+        names = ["id", "n", "sketch", "bands", "counts"]
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                n = part.num_rows
+            for at in range(0, batch.num_rows, _CHUNK):
+                part = batch.slice(at, _CHUNK)
                 hashes, owner = shingles.runs(part.column(1).to_pylist())
+                some, owner = np.unique(owner, return_inverse=True)
+                n = len(some)
+                if not n:
+                    continue
                 grid = signatures(hashes, owner, n, bands * rows)
                 keys = np.broadcast_to(_mix(np.arange(bands, dtype=np.uint64) + seed), (n, bands))
                 for r in range(rows):
                     keys = _mix(keys * _ODD + grid[:, r::rows])
-                some = np.unique(owner)
-                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False)[some], bands)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[some].ravel().view(np.int64)), pa.array(ids, pa.int64())], names=["band", "id"])
+                keys = (keys >> np.uint64(16)).view(np.int64)  # 48 bits: shorter to move; what they confuse is only compared in vain
+                order = np.lexsort((hashes, owner))
+                hashes, owner = hashes[order], owner[order]
+                first = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])])
+                marks = np.zeros((n, bits), bool)
+                marks[owner, (hashes % np.uint64(bits)).astype(np.int64)] = True
+                sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(bits // 8), n, [None, pa.py_buffer(np.packbits(marks, axis=1).tobytes())])
+                value, times = np.unique(keys, return_counts=True)
+                often.update(dict(zip(value[times >= _OFTEN].tolist(), times[times >= _OFTEN].tolist())))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(pa.array(some)).cast(pa.int64()), pa.array(np.bincount(owner[first], minlength=n).astype(np.int32)),
+                        sketch.cast(pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(keys.ravel())),
+                        pa.nulls(n, pa.list_(pa.int32())),
+                    ],
+                    names=names,
+                )
+        bands_of, counts = zip(*often.most_common(1000)) if often else ((), ())
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((None, None, None, bands_of, counts), kinds)], names=names)
 
     return run
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by band and id to edges: all within the first ``FULL`` members of a bucket, then star edges.
-
-    A member after those has edges from the first member and from the member just before. Each member of
-    such a crowded bucket also gives an edge to itself. The last ``FULL`` rows are held, no bucket is.
-    """
-    bands, ids, places = (np.empty(0, np.int64) for _ in range(3))
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by band and id: those of bands that several ids have, each once."""
+    held = None  # the last row so far, and whether it was given out
     for batch in batches:
-        if not batch.num_rows:
+        band, ids = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        if not len(band):
             continue
-        held = len(ids)
-        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        bands, ids = np.concatenate([bands, new[0]]), np.concatenate([ids, new[1]])
-        again = np.concatenate([[False], (bands[1:] == bands[:-1]) & (ids[1:] == ids[:-1])])  # rows delivered twice
-        bands, ids = bands[~again], ids[~again]
-        first = np.concatenate([[True], bands[1:] != bands[:-1]])
-        at = np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))
-        place, hubs = np.arange(len(ids)) - at, ids[at]
-        if held:  # the bucket that was cut goes on from where it stood
-            goes_on = at == 0
-            place[goes_on] += places[0]
-            hubs[goes_on] = hub_of_held
-        a, b = [], []
-        fresh = np.arange(len(ids)) >= held
-        for lag in range(1, min(FULL, len(ids))):
-            own = np.flatnonzero(fresh & (place >= lag) & ((place < FULL) | (lag == 1)))
-            a.append(ids[own - lag])
-            b.append(ids[own])
-        late = fresh & (place >= FULL)
-        a += [hubs[late], ids[late]]
-        b += [ids[late], ids[late]]
-        over = np.flatnonzero(fresh & (place == FULL))
-        for lag in range(1, FULL + 1):
-            a.append(ids[over - lag])
-            b.append(ids[over - lag])
-        keep = max(len(ids) - FULL, 0)
-        bands, ids, places, hub_of_held = bands[keep:], ids[keep:], place[keep:], hubs[keep]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["id_a", "id_b"])
+        out = np.zeros(len(band) + 1, bool)
+        if held is None:
+            held = (int(band[0]) - 1, 0, True)
+        band, ids = np.concatenate([[held[0]], band]), np.concatenate([[held[1]], ids])
+        fresh = np.concatenate([[True], (band[1:] != band[:-1]) | (ids[1:] != ids[:-1])])  # else a row delivered twice
+        band, ids, out = band[fresh], ids[fresh], out[fresh]
+        alike = band[1:] == band[:-1]
+        out[1:] |= alike
+        out[:-1] |= alike
+        last = (int(band[-1]), int(ids[-1]), bool(out[-1]) or (len(band) == 1 and held[2]))
+        if held[2]:
+            out[0] = False
+        held = last
+        yield pa.RecordBatch.from_arrays([pa.array(band[out]), pa.array(ids[out])], names=["band", "id"])
+
+
+def _plausible(n_a, n_b, sketch_a, sketch_b, threshold: float) -> np.ndarray:
+    """Whether two sets of these sizes and sketches can be as similar as asked for; never false where they are.
+
+    Each mark of one sketch that the other lacks stands for at least one member that the other set lacks.
+    """
+    only_a = np.bitwise_count(sketch_a & ~sketch_b).sum(axis=1, dtype=np.int64)
+    only_b = np.bitwise_count(sketch_b & ~sketch_a).sum(axis=1, dtype=np.int64)
+    both = np.minimum(n_a - only_a, n_b - only_b)
+    return both >= threshold * (n_a + n_b - both) - 1e-9
+
+
+def _bucket_edges(threshold: float, bits: int):
+    """Rows (band, id, n, sketch) sorted by band and id to edges.
+
+    A bucket of up to ``FULL`` members gives all its plausible pairs. Of a larger one, each member gives an
+    edge from the first one and, to mark it as crowded, an edge to itself. At most ``FULL`` rows of a bucket
+    are held over from one batch to the next.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, crowd = None, None  # rows of a bucket that may go on; band and first member of a crowded one
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                band, ids, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+                marks = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64).reshape(-1, bits // 64)
+                rows = (band, ids, n.astype(np.int64), marks)
+                rows = rows if held is None else tuple(np.concatenate(x) for x in zip(held, rows))
+            elif held is not None:
+                rows = held
+            else:
+                break
+            band, ids, n, marks = rows
+            if not len(band):
+                continue
+            a, b = [], []
+            if crowd is not None:
+                more = int(np.searchsorted(band, crowd[0], "right"))
+                a += [np.full(more, crowd[1]), ids[:more]]
+                b += [ids[:more], ids[:more]]
+                band, ids, n, marks = band[more:], ids[more:], n[more:], marks[more:]
+                if len(band):
+                    crowd = None
+            cuts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1], [True]])) if len(band) else np.zeros(1, np.int64)
+            size = np.diff(cuts)
+            for at in np.flatnonzero(size > FULL):
+                own = ids[cuts[at] : cuts[at + 1]]
+                a += [np.full(len(own) - 1, own[0]), own]
+                b += [own[1:], own]
+            end = len(band)
+            if batch is not None and len(size):  # the last bucket may go on
+                end = int(cuts[-2])
+                if size[-1] > FULL:
+                    crowd = (band[end], ids[end])
+                    held = None
+                else:
+                    held = (band[end:], ids[end:], n[end:], marks[end:])
+                size = size[:-1]
+            else:
+                held = None
+            left = np.repeat(np.where(size > FULL, 0, size), size) - (np.arange(end) - np.repeat(cuts[: len(size)], size))
+            for lag in range(1, min(FULL, int(left.max(initial=0)))):
+                one = np.flatnonzero(left > lag)
+                two = one + lag
+                fine = _plausible(n[one], n[two], marks[one], marks[two], threshold) & (ids[one] != ids[two])
+                a.append(ids[one[fine]])
+                b.append(ids[two[fine]])
+            none = np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *a])), pa.array(np.concatenate([none, *b]))], names=["id_a", "id_b"])
+            if batch is None:
+                break
+
+    return run
 
 
 def _tokens(kind: tuple):
@@ -236,21 +325,42 @@ class NearDuplicates:
             self.parts.append((F.lit(field).alias("field"), kind, *self._stars(field, frame, kind, bands, rows)))
 
     def _stars(self, field, frame, kind, bands, rows):
-        """Classes of equal words, the texts that stand for them, and the star edges, all and those that hold."""
+        """Classes of equal words, the texts, the candidate edges, the members of crowded buckets, and the edges that hold."""
         keyed = materialize(frame.select("id", _words_key(F.col("text")).alias("key")), f"keys-{field}").where("key is not null")
         several = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("most")).where("most > rep").select("key", "rep")
         classes = materialize(keyed.join(several, "key").select("id", "rep").distinct(), f"copies-{field}")
         reps = frame.join(classes.where("id != rep").select("id"), "id", "left_anti")
-        banded = reps.select("id", "text").mapInArrow(_band_rows(kind, field, bands, rows), "band long, id long")
-        stars = banded.repartition("band").sortWithinPartitions("band", "id").mapInArrow(_stars, "id_a long, id_b long")
-        stars = materialize(stars.distinct(), f"stars-{field}")
-        edges, crowded = stars.where("id_a != id_b"), stars.where("id_a = id_b").select(F.col("id_a").alias("id"))
+        bits = 256 if kind[1] else 512  # runs of characters are taken of short texts
+        signed = "id long, n int, sketch binary, bands array<long>, counts array<int>"
+        signed = materialize(reps.mapInArrow(_signed(kind, field, bands, rows, bits), signed), f"signed-{field}")
         # A class with no run at all has no similarity, not even to itself.
-        runs = reps.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", F.col("id"), "text", "text")
-        runs = runs.toDF("id_a", "id_b", "text_a", "text_b").mapInArrow(_alike(kind, self.threshold), "id_a long, id_b long")
-        classes = materialize(classes.join(runs.select(F.col("id_a").alias("rep")).distinct(), "rep", "left_semi"), f"classes-{field}")
-        first = materialize(self._checked(edges, reps, kind), f"alike-{field}")
-        return classes, reps, edges, crowded, first
+        classes = materialize(classes.join(signed.select(F.col("id").alias("rep")).distinct(), "rep", "left_semi"), f"classes-{field}")
+        edges, crowded = self._candidates(field, signed, bits)
+        first = materialize(self._checked(edges, frame, kind), f"alike-{field}")
+        return classes, frame, edges, crowded, first
+
+    def _candidates(self, field, signed, bits):
+        """``(id_a, id_b)`` from the buckets, and ``(id)`` of the members of crowded ones."""
+        records = signed.where("id is not null")
+        by_band = records.select("id", F.explode("bands").alias("band")).select("band", "id")
+        counted = signed.where("id is null").select(F.explode(F.arrays_zip("bands", "counts")).alias("x"))
+        counted = counted.groupBy(F.col("x.bands").alias("band")).agg(F.sum("x.counts").alias("times"))
+        least = max(FULL, int(HOT_SHARE * records.count()))
+        hot = counted.where(F.col("times") >= least).select("band")
+        hot = [r["band"] for r in hot.collect()]  # at most BANDS / HOT_SHARE of them
+        known = F.broadcast(signed.sparkSession.createDataFrame([(x,) for x in hot], "band long"))
+        members = by_band.join(known, "band", "left_anti") if hot else by_band
+        shared = members.repartition("band").sortWithinPartitions("band", "id").mapInArrow(_shared, "band long, id long")
+        sketches = records.select("id", "n", "sketch").dropDuplicates(["id"])
+        met = materialize(shared, f"met-{field}").join(sketches, "id").select("band", "id", "n", "sketch")
+        stars = met.repartition("band").sortWithinPartitions("band", "id").mapInArrow(_bucket_edges(self.threshold, bits), "id_a long, id_b long")
+        if hot:
+            own = by_band.join(known, "band")
+            hubs = F.broadcast(own.groupBy("band").agg(F.min("id").alias("hub")))  # a row per hot bucket
+            ends = [F.struct(F.col(c).alias("id_a"), F.col("id").alias("id_b")) for c in ("hub", "id")]
+            stars = stars.union(own.join(hubs, "band").select(F.explode(F.array(*ends)).alias("e")).select("e.*"))
+        stars = materialize(stars.distinct(), f"stars-{field}")
+        return stars.where("id_a != id_b"), stars.where("id_a = id_b").select(F.col("id_a").alias("id"))
 
     @property
     def classes(self) -> DataFrame:
@@ -299,17 +409,10 @@ class NearDuplicates:
         return out
 
     def links(self) -> DataFrame:
-        """``(field, id_a, id_b)`` between classes: all that share a bucket, and pairs that are alike to the same one."""
+        """``(field, id_a, id_b)`` between classes: all alike records that share a bucket."""
         out = []
-        for (field, kind, _, reps, edges, _, first), crowd in zip(self.parts, self._of_crowds()):
-            if crowd is not None:
-                edges, first = edges.union(crowd[0]), first.union(crowd[1])
-            ends = first.union(first.select("id_b", "id_a")).toDF("x", "y")
-            two, three = ends.alias("two"), ends.alias("three")
-            gaps = two.join(three, (F.col("two.x") == F.col("three.x")) & (F.col("two.y") < F.col("three.y")))
-            gaps = gaps.select(F.col("two.y").alias("id_a"), F.col("three.y").alias("id_b")).distinct().join(edges, ["id_a", "id_b"], "left_anti")
-            more = self._checked(materialize(gaps, "gaps"), reps, kind)
-            out.append(first.union(materialize(more, "gap-links")).select(field, "id_a", "id_b"))
+        for (field, *_, first), crowd in zip(self.parts, self._of_crowds()):
+            out.append((first if crowd is None else first.union(crowd[1])).select(field, "id_a", "id_b"))
         return reduce(DataFrame.union, out)
 
     def _checked(self, edges: DataFrame, texts: DataFrame, kind: tuple) -> DataFrame:

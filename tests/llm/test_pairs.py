@@ -58,37 +58,70 @@ def test_near_duplicates(spark):
     assert empty.pairs().count() == 0 and empty.groups().count() == 0
 
 
-def test_bucket_edges():
-    """All pairs of a bucket of up to FULL members, the members of a larger one by name, whatever the batches."""
-    full = neardup.FULL
-    sizes = {5: 6, 6: 1, 7: full, 8: full + 1, 9: 2 * full + 9, 10: 2}
-    rows = [(b, 1000 * b + k) for b, m in sizes.items() for k in range(m) for _ in range(1 + k % 2)]  # some rows twice
-    for step in (7, 300, 2000):
-        parts = [rows[k : k + step] for k in range(0, len(rows), step)]
-        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p)], names=["band", "id"]) for p in parts]
-        got = {e for out in neardup._stars(iter(batches)) for e in zip(*(c.to_pylist() for c in out.columns))}
+def batches_of(rows, step, names, kinds):
+    parts = [rows[k : k + step] for k in range(0, len(rows), step)]
+    return iter([pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*p), kinds)], names=names) for p in parts])
+
+
+def test_shared_bands():
+    rnd = random.Random(2)
+    rows = sorted((rnd.randrange(60), rnd.randrange(40)) for _ in range(90))
+    times = Counter(b for b, _ in set(rows))
+    for step in (1, 2, 7, 200):
+        out = neardup._shared(batches_of(rows, step, ["band", "id"], [pa.int64()] * 2))
+        got = [e for x in out for e in zip(*(c.to_pylist() for c in x.columns))]
+        assert sorted(got) == sorted({r for r in rows if times[r[0]] > 1})
+
+
+def test_bucket_edges(monkeypatch):
+    """All pairs of a bucket of up to FULL members, stars and marks of a larger one, whatever the batches."""
+    monkeypatch.setattr(neardup, "FULL", 20)
+    sizes = {5: 6, 7: 20, 8: 21, 9: 75, 10: 2, 11: 90, 12: 3}
+    rows = [(b, 1000 * b + k, 5, b"\x0f" * 64) for b, m in sizes.items() for k in range(m)]
+    for step in (1, 7, 30, 2000):
+        out = neardup._bucket_edges(0.7, 512)(batches_of(rows, step, ["band", "id", "n", "sketch"], [pa.int64(), pa.int64(), pa.int32(), pa.binary()]))
+        got = [e for x in out for e in zip(*(c.to_pylist() for c in x.columns))]
         for b, m in sizes.items():
-            own, ids = {e for e in got if e[0] // 1000 == b}, [1000 * b + k for k in range(m)]
-            pairs = set(combinations(ids[:full], 2)) | {(ids[0], i) for i in ids[1:]} | set(zip(ids, ids[1:]))
-            assert own == pairs | ({(i, i) for i in ids} if m > full else set())
-
-
-def test_crowded_buckets(spark):
-    """Names of one template share buckets in thousands; those that are alike are few."""
+            own, ids = [e for e in got if e[0] // 1000 == b], [1000 * b + k for k in range(m)]
+            crowd = {(ids[0], i) for i in ids} | {(i, i) for i in ids}
+            assert set(own) == (crowd if m > 20 else set(combinations(ids, 2)))
+
+
+def test_sketches_leave_out_no_alike_pair():
+    rnd = np.random.default_rng(3)
+    for _ in range(300):
+        size, bits = int(rnd.integers(1, 400)), 256
+        pool = rnd.integers(0, 1 << 63, 2 * size, dtype=np.uint64)
+        a, b = pool[: size + int(rnd.integers(0, size))], pool[int(rnd.integers(0, max(1, size // 3))) : size + int(rnd.integers(0, size))]
+        words = []
+        for x in (a, b):
+            marks = np.zeros(bits, bool)
+            marks[(x % np.uint64(bits)).astype(int)] = True
+            words.append(np.packbits(marks).view(np.uint64)[None])
+        both = len(np.intersect1d(a, b))
+        if both >= 0.7 * (len(a) + len(b) - both):
+            assert neardup._plausible(np.array([len(a)]), np.array([len(b)]), *words, 0.7)[0]
+
+
+def test_crowded_buckets(spark, monkeypatch):
+    """Names of one template share buckets in hundreds; those that are alike are few. Some buckets are hot."""
+    monkeypatch.setattr(neardup, "FULL", 64)
     rnd = random.Random(8)
     rows = [(k, "weekly sales report for the " + "".join(rnd.choice("abc") for _ in range(12))) for k in rnd.sample(range(9000), 1200)]
     kind = (3, True, 20)
     frame = spark.createDataFrame(rows, "id long, text string")
-    near = neardup.NearDuplicates([("f", frame, kind)])
-    assert near.parts[0][5].count() > 500
     want = brute(rows, kind)
-    got = [tuple(r)[1:] for r in near.pairs().collect()]
-    assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.999 * len(want)
     least = {i: i for p in want for i in p}
     for _ in range(50):
         for a, b in want:
             least[a] = least[b] = min(least[a], least[b])
-    assert {r["id"]: r["group_id"] for r in near.groups().collect()} == least
+    for share in (0.005, 2.0):  # with hot buckets, and without
+        monkeypatch.setattr(neardup, "HOT_SHARE", share)
+        near = neardup.NearDuplicates([("f", frame, kind)])
+        assert near.parts[0][5].count() > 500
+        got = [tuple(r)[1:] for r in near.pairs().collect()]
+        assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.999 * len(want)
+        assert {r["id"]: r["group_id"] for r in near.groups().collect()} == least
 
 
 def test_signatures_estimate():
