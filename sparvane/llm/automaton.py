@@ -2,8 +2,10 @@
 
 A small regular-expression language (literals, classes, ``. ? * + {m,n} | ( )``) is compiled to
 a nondeterministic automaton and made deterministic over classes of bytes that no pattern tells
-apart. The scanner cuts a buffer into chunks that overlap by the longest text that a pattern
-needs, and runs all chunks side by side, one table look-up per place.
+apart. The scanner cuts a buffer into chunks that overlap and runs all chunks side by side, one
+table look-up per place. The overlap only guesses the state that a chunk starts in: where the chunk
+before ends in another state, the true one is carried on, so that a match may be of any length and
+its place in the buffer never matters.
 """
 
 from __future__ import annotations
@@ -99,7 +101,7 @@ class _Parser:
 class Automaton:
     """Finds, in one pass, every place where any of the patterns ends; bit ``k`` stands for pattern ``k``."""
 
-    def __init__(self, patterns: list[str], ignore_case: bool = False, reach: int = 128):
+    def __init__(self, patterns: list[str], ignore_case: bool = False, reach: int = 64):
         self.reach = reach
         self.steps: list[list[tuple[frozenset, int]]] = []
         self.free: list[list[int]] = []
@@ -187,30 +189,57 @@ class Automaton:
         self.width = len(kinds)
         self.table = (np.array(rows, np.int32) * self.width).ravel()
         bits = [sum(1 << ends[n] for n in s if n in ends) for s in states]
-        self.accepts = np.array(bits, np.int64)
+        self.final = np.repeat(np.array(bits, np.int64), self.width)  # by state times width
+        self.walk = None
 
     def scan(self, data: np.ndarray, chunk: int = 1024) -> tuple[np.ndarray, np.ndarray]:
         """Ends of matches in a byte buffer (the place after the last byte), and the patterns' bits."""
-        n = len(data)
-        kinds = np.concatenate([self.kind_of[data], np.full(chunk + self.reach, self.kind_of[RESET], np.int32)])
-        starts = np.arange(0, max(n, 1), chunk)
-        # A chunk begins `reach` places early: a match that ends in it has begun by then.
-        at = np.maximum(starts - self.reach, 0)
-        lead = int(self.reach)
-        state = np.zeros(len(starts), np.int32)
-        places, found = [], []
-        final = self.accepts
-        for k in range(chunk + lead):
+        n, reach = len(data), self.reach
+        reset = self.kind_of[RESET]
+        lanes = -(-n // chunk)
+        kinds = np.full(reach + lanes * chunk, reset, np.int32)
+        kinds[reach : reach + n] = self.kind_of[data]
+        at = np.arange(lanes) * chunk  # a lane begins `reach` places before its chunk
+        state, begun = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        places, found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for k in range(chunk + reach):
+            if k == reach:
+                begun = state
             state = self.table[state + kinds[at + k]]
-            bits = final[state // self.width]
-            hit = np.flatnonzero(bits)
-            if len(hit):
-                where = at[hit] + k + 1
-                own = (where > starts[hit]) & (where <= starts[hit] + chunk) & (where <= n)
-                places.append(where[own])
-                found.append(bits[hit][own])
-        if not places:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            if k >= reach:
+                bits = self.final[state]
+                hit = np.flatnonzero(bits)
+                if len(hit):
+                    places.append(at[hit] + k + 1 - reach)
+                    found.append(bits[hit])
         places, found = np.concatenate(places), np.concatenate(found)
+        wrong = np.flatnonzero(begun[1:] != state[:-1]) + 1
+        if len(wrong):
+            places, found = self._carried(kinds, chunk, begun, state, wrong, places, found)
         order = np.argsort(places, kind="stable")
-        return places[order], found[order]
+        places, found = places[order], found[order]
+        inside = places <= n
+        return places[inside], found[inside]
+
+    def _carried(self, kinds, chunk, begun, ended, wrong, places, found):
+        """Chunks that were begun in a wrong state once more, from the true one, until guess and truth agree."""
+        if self.walk is None:
+            self.walk = self.table.tolist(), self.final.tolist()
+        table, final = self.walk
+        again, more = set(), []
+        for first in wrong.tolist():
+            if first in again:
+                continue
+            lane, state = first, int(ended[first - 1])
+            while lane < len(begun) and state != begun[lane]:
+                again.add(lane)
+                place = lane * chunk
+                for kind in kinds[self.reach + place : self.reach + place + chunk].tolist():
+                    state = table[state + kind]
+                    place += 1
+                    if final[state]:
+                        more.append((place, final[state]))
+                lane += 1
+        keep = ~np.isin((places - 1) // chunk, list(again))
+        extra = np.array(more, np.int64).reshape(-1, 2)
+        return np.concatenate([places[keep], extra[:, 0]]), np.concatenate([found[keep], extra[:, 1]])

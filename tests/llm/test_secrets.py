@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -27,6 +28,13 @@ HELD = [
     ("db_pw", "aB3dE5fG7h!", "aB3dE5fG7h!"),
     ("value2", "key_live_" + RANDOM, "key_live_" + RANDOM),
     ("config", "db:\n  user: x\n  password: 'Ab%9!xyz12'\n", "Ab%9!xyz12"),
+    ("code", 'password         = "Abcd1234xyz"', "Abcd1234xyz"),
+    ("code", 'let password: "correcthorsebattery"', "correcthorsebattery"),
+    ("code", 'password="my-P4ssw0rd-77"', "my-P4ssw0rd-77"),
+    ("code", "pwd = '$ecretPass99'", "$ecretPass99"),
+    ("config", '{"k": "%s"}' % RANDOM, RANDOM),
+    ("config", '{\\"password\\": \\"aB3dE5fG7h\\"}', "aB3dE5fG7h"),
+    ("config", "pw=a1!", "a1!"),
 ]
 FREE = [
     ("headers", '{"Authorization": "Bearer {{ $credentials.a.token }}"}'), ("headers", '{"X-Api-Key": "YOUR_API_KEY"}'), ("headers", '{"X-Api-Key": "${API_KEY}"}'),
@@ -36,6 +44,7 @@ FREE = [
     ("checksum", "sha256:" + "ab12" * 16), ("etag", 'W/"%s"' % HEX[:32]), ("url", "https://a.example/b?access_token=********"), ("url", "https://a.example/b?access_token=TOKEN_HERE"),
     ("connection", "pgsql://me:${DB_PASSWORD}@a.example/b"), ("options", '{"max_tokens":3176,"token_field":"abcdefgh","secret":null}'),
     ("fields", '[{"label":"Password","type":"password","required":true}]'), ("content", "Never paste a password or an API key here; team x keeps them."),
+    ("config", '{"commit": "%s", "file_id":"%s"}' % (HEX, RANDOM)), ("code", "password = $json.password"), ("code", "let key = $apiKey;"), ("fields", '{"secret": "required", "password": "password"}'),
     ("webhook_id", "69a9a152-4aa1-f476-8889-267ea60caa56"), ("text", "Keep-at-most-479-shipments-per-locordu-run,-see-kocaja."),
 ]
 
@@ -60,14 +69,15 @@ def test_joined_literals_and_armor():
     assert len(spans) == 3 and secrets.redact(value, spans).endswith("-----END RSA PRIVATE KEY-----")
 
 
-PATTERNS = ["ab+c", "(x|yz)=[0-9]{2}", "k[^a]?z", "a.c"]
+PATTERNS = ["ab+c", "(x|yz)=[0-9]{2}", "k[^a]?z", "a.c", "x[a-z]*=[0-9]"]
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text("abcxyzk=019é\n", max_size=300), st.integers(5, 64))
-def test_automaton(text, chunk):
+@given(st.text("abcxyzk=019é\n", max_size=300), st.integers(1, 64), st.integers(0, 9))
+def test_automaton(text, chunk, reach):
+    """Whatever the chunks and their overlap, and however long a match."""
     data = np.frombuffer(text.encode(), np.uint8)
-    places, bits = Automaton(PATTERNS, reach=320).scan(data, chunk)
+    places, bits = Automaton(PATTERNS, reach=reach).scan(data, chunk)
     raw = text.encode()
     want = {}
     for k, p in enumerate(PATTERNS):
@@ -122,3 +132,29 @@ def test_prose(spark):
     rows = [(k, 0, n, v) for k, (n, v, *_) in enumerate(PROSE + PLAIN)]
     values = spark.createDataFrame(rows, "file_id long, node_pos int, param string, value string")
     assert {r["file_id"] for r in secrets.find_secrets(values).collect()} == set(range(len(PROSE)))
+
+
+def test_place_never_matters():
+    """A connection string with a long user, wherever it lies in the buffer, and a value of several chunks."""
+    value = "https://" + "u" * 200 + ":aB3dE5fG7h@a.example/b"
+    for before in range(0, 2200, 20):
+        names, values = pa.array(["x", "url"]), pa.array(["y" * before, value])
+        assert [(r, s) for r, _, s in secrets.spans_of(secrets.automaton(), names, values)] == [(1, [(209, 219, "password")])]
+    long = "clave" + " " * 5000 + ": Ab9xyz12kk\n" + f"var k = '{RANDOM * 300}'; -----BEGIN {'VERY ' * 20}PRIVATE KEY-----" + "aB3x" * 2000
+    assert [k for *_, k in secrets.secret_spans("code", long)] == ["password", "token", "private_key"]
+
+
+def test_redacted_in_place(spark):
+    """Ids that are null or come twice with other contents; all else stays as it was, byte for byte."""
+    node = lambda p: {"id": None, "name": "n", "type": None, "type_version": 1.5, "parameters": p}
+    secret, clean = {"note": f"密 api_key={RANDOM} é", "none": None}, {"note": "nothing here", "b": ""}
+    schema = "file_id long, nodes array<struct<id:string,name:string,type:string,type_version:double,parameters:map<string,string>>>, n int"
+    rows = [(None, [node(secret)], 0), (7, [node(secret), None, node(None)], 1), (7, [node(clean), node({})], 2), (8, [], 3), (9, None, 4)]
+    frame = spark.createDataFrame(rows, schema)
+    out = secrets.redact_files(frame)
+    assert out.schema == frame.schema and "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["n"]: r for r in out.collect()}
+    masked = secret | {"note": "密 api_key=<token-redacted> é"}
+    want = {0: [node(masked)], 1: [node(masked), None, node(None)], 2: [node(clean), node({})], 3: [], 4: None}
+    assert {n: r.asDict(recursive=True)["nodes"] for n, r in got.items()} == want and got[0]["file_id"] is None
+    assert secrets.redact_files(frame.limit(0)).count() == 0 and secrets.redact_files(out).collect() == out.collect()
