@@ -10,7 +10,7 @@ from ..runtime import table
 from .registry import query
 
 
-@query("""WITH b AS (SELECT DISTINCT raw_id, body::JSON AS j FROM workflow_files WHERE CASE WHEN json_valid(body) THEN json_type(body) = 'OBJECT' ELSE false END),
+_DRIFT = """WITH b AS (SELECT DISTINCT raw_id, body::JSON AS j FROM workflow_files WHERE CASE WHEN json_valid(body) THEN json_type(body) = 'OBJECT' ELSE false END),
           o AS (SELECT raw_id, 'file' AS level, j FROM b
                 UNION ALL SELECT raw_id, 'node', n.value FROM b, json_each(j, '$.nodes') n WHERE json_type(j, '$.nodes') = 'ARRAY' AND n.type = 'OBJECT'
                 UNION ALL SELECT raw_id, 'link', l.value FROM b, json_each(j, '$.connections') s, json_each(s.value) p, json_each(p.value) t, json_each(t.value) l
@@ -20,11 +20,14 @@ from .registry import query
                        WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN 'null' ELSE 'number' END AS t FROM n, json_each(n.j) e),
           missing AS (SELECT k, raw_id, level, field, json_type AS t, row_number() OVER (PARTITION BY k, json_type ORDER BY field) AS i
                       FROM (SELECT k, raw_id, n.level, field, json_type FROM n JOIN schema_fields s ON s.level = n.level AND s.required) m ANTI JOIN f USING (k, field)),
-          unknown AS (SELECT k, raw_id, level, field, t, row_number() OVER (PARTITION BY k, t ORDER BY field) AS i FROM f ANTI JOIN schema_fields s USING (level, field))
-          SELECT raw_id, level, field, CASE WHEN u.k IS NULL THEN 'removed' ELSE 'renamed' END AS change
-          FROM missing m LEFT JOIN (SELECT k, t, i FROM unknown) u USING (k, t, i)
-          UNION SELECT raw_id, level, field, 'added' FROM unknown ANTI JOIN missing USING (k, t, i)
-          UNION SELECT raw_id, level, field, 'retyped' FROM f JOIN schema_fields s USING (level, field) WHERE t <> 'null' AND t <> json_type""")
+          unknown AS (SELECT k, raw_id, level, field, t, row_number() OVER (PARTITION BY k, t ORDER BY field) AS i FROM f ANTI JOIN schema_fields s USING (level, field)),
+          c AS (SELECT raw_id, level, field, CASE WHEN u.k IS NULL THEN 'removed' ELSE 'renamed' END AS change, u.name AS detail
+                FROM missing m LEFT JOIN (SELECT k, t, i, field AS name FROM unknown) u USING (k, t, i)
+                UNION SELECT raw_id, level, field, 'added', t FROM unknown ANTI JOIN missing USING (k, t, i)
+                UNION SELECT raw_id, level, field, 'retyped', t FROM f JOIN schema_fields s USING (level, field) WHERE t <> 'null' AND t <> json_type)"""
+
+
+@query(f"{_DRIFT} SELECT DISTINCT raw_id, level, field, change FROM c")
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drift.changes(table(spark, sf_dir, "workflow_files"), table(spark, sf_dir, "schema_fields"))
     return found.select("raw_id", "level", "field", "change").distinct()
@@ -35,12 +38,15 @@ def p4_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.uniform(table(spark, sf_dir, "workflow_files"), table(spark, sf_dir, "schema_fields"))
 
 
-@query()
+@query(f"""{_DRIFT} SELECT level, field, change, detail, min(exported_at) AS first_seen, max(exported_at) AS last_seen, count(DISTINCT raw_id) AS n_files
+           FROM c JOIN (SELECT raw_id, min(exported_at) AS exported_at FROM workflow_files GROUP BY raw_id) USING (raw_id) GROUP BY ALL""")
 def p4_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.change_log(table(spark, sf_dir, "workflow_files"), table(spark, sf_dir, "schema_fields"))
 
 
-@query()
+@query(f"""{_DRIFT} SELECT level, field, CASE WHEN count(DISTINCT t) FILTER (WHERE t <> 'null') <= 1 THEN coalesce(max(t) FILTER (WHERE t <> 'null'), 'null')
+                  WHEN count(*) FILTER (WHERE t NOT IN ('null', 'boolean', 'number')) = 0 THEN 'number' ELSE 'string' END AS json_type,
+                  count(*) AS n_objects, coalesce(bool_or(known), false) AS agreed FROM f LEFT JOIN (SELECT level, field, true AS known FROM schema_fields) s USING (level, field) GROUP BY ALL""")
 def p4_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = drift.Layout.read(table(spark, sf_dir, "schema_fields"))
     return drift.union_schema(table(spark, sf_dir, "workflow_files"), layout)

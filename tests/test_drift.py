@@ -95,3 +95,23 @@ def test_table_keeps_what_has_no_place(spark):
     }
     assert json.loads(table[1]["nodes"][0]["extra"]) == {"typeVersion": "two", "color": 3}
     assert json.loads(table[3]["links"][0]["extra"]) == {"label": "l"} and table[4]["active"] is True and table[4]["tags"] == '"a"'
+
+
+def test_columns_come_from_the_layout(spark):
+    """A field agreed on later has its column, at every level; without it, it is kept beside its object."""
+    body = GOOD | {"ownerTeam": "t", "nodes": [{"id": "1", "name": "n", "typeVersion": 1, "retryCount": 3}]}
+    files, _ = frames(spark, [(1, json.dumps(body))])
+    more = [*LAYOUT, ("file", "ownerTeam", "string", False), ("node", "retryCount", "number", False)]
+    layout = spark.createDataFrame(more, "level string, field string, json_type string, required boolean")
+    row = drift.uniform(files, layout).first()
+    assert (row["owner_team"], row["nodes"][0]["retry_count"], row["extra"], row["nodes"][0]["extra"]) == ("t", 3.0, None, None)
+
+
+def test_the_most_frequent_stand_in_wins(spark):
+    """Of two unknown fields that could stand in, the one that mostly does so elsewhere, whatever their order."""
+    short = {k: v for k, v in GOOD.items() if k != "name"}
+    bodies = [(k, json.dumps(short | {"title": "t"})) for k in range(5)] + [(k, json.dumps(GOOD | {"note": "x"})) for k in range(5, 9)]
+    bodies += [(9, json.dumps(short | {"note": "x", "title": "t"}))]
+    files, layout = frames(spark, bodies)
+    got = {tuple(r) for r in drift.changes(files, layout).where("raw_id = 9").collect()}
+    assert got == {(9, "file", "name", "renamed", "title"), (9, "file", "note", "added", "string")}
