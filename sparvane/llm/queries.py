@@ -12,23 +12,19 @@ from . import bpe, cooccur, copies, neardup, packing, secrets, spans
 
 
 def p1_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger, _ = _ledger(spark, sf_dir)
-    return ledger.counts().select("field", F.hex("key").alias("copy_key"), "n", "keep_id")
+    return _ledger(spark, sf_dir).counts().select("field", "n", "keep_id")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger, members = _ledger(spark, sf_dir)
-    return ledger.copies(members)
+    return _ledger(spark, sf_dir).copies()
 
 
 def _ledger(spark, sf_dir):
-    files = copies.file_keys(table(spark, sf_dir, "workflow_json"))
-    names = copies.name_keys(table(spark, sf_dir, "workflows"))
+    files = copies.file_keys(table(spark, sf_dir, "workflow_json")).withColumn("loaded_at", F.lit(None).cast("timestamp_ntz"))
+    rows = table(spark, sf_dir, "workflows")
+    names = copies.name_keys(rows, keep=("loaded_at",))
     members = materialize(files.union(names), "copy-members")  # the keys are made once, and are short
-    ledger = copies.CopyLedger(spark)
-    for field in ("nodes", "filename"):
-        ledger.absorb(members.where(F.col("field") == field))
-    return ledger, members
+    return copies.absorb_deliveries(copies.CopyLedger(spark), members)
 
 
 def _near(spark, sf_dir):
@@ -114,7 +110,22 @@ def oracle_sql() -> dict[str, str]:
         WITH d AS (SELECT doc_id, any_value(text) AS t FROM documents WHERE length(text) >= 240 GROUP BY doc_id),
         w AS (SELECT doc_id, p, md5(substr(t, p, 240)) AS h FROM (SELECT doc_id, t, unnest(range(1, length(t) - 238)) AS p FROM d)),
         h AS (SELECT h FROM w GROUP BY h HAVING count(DISTINCT doc_id) > 1), s AS (SELECT doc_id, p, h FROM w SEMI JOIN h USING (h))"""
+    bare = r"regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', '', 'g')"
+    told = "coalesce('=' || {}, '~')"
+    node = " || ".join([told.format(bare.format(f"n.{c}")) for c in ("id", "name", "type")] + [told.format("n.type_version::VARCHAR")])
+    parameters = f"list_sort(list_transform(map_entries(n.parameters), lambda e: {bare.format('e.key')} || {told.format(bare.format('e.value'))}))"
+    counts = rf"""
+        WITH f AS (SELECT file_id, any_value(nodes) AS nodes, any_value(connections) AS c FROM workflow_json WHERE len(nodes) > 0 GROUP BY file_id),
+        x AS (SELECT file_id, regexp_replace(lower(fullkey), '[^\p{{L}}\p{{N}}\[\]]', '', 'g') || '|' || CASE WHEN type IN ('OBJECT', 'ARRAY', 'NULL', 'BOOLEAN')
+                     THEN type || coalesce(atom::VARCHAR, '') WHEN type = 'VARCHAR' THEN 'V' || {bare.format("atom->>'$'")} ELSE atom::DOUBLE::VARCHAR END AS x
+              FROM (SELECT file_id, CASE WHEN json_valid(c) THEN c::JSON END AS j FROM f), json_tree(j)),
+        t AS (SELECT file_id, string_agg(x, chr(10) ORDER BY x) AS told FROM x GROUP BY file_id),
+        k AS (SELECT file_id, list_transform(nodes, lambda n: coalesce({node} || coalesce({parameters}::VARCHAR, '~'), '-'))::VARCHAR AS a,
+                     CASE WHEN c IS NULL THEN 'null' WHEN t.file_id IS NULL THEN '!' || {bare.format("c")} ELSE told END AS b FROM f LEFT JOIN t USING (file_id))
+        SELECT 'nodes' AS field, count(*) AS n, min(file_id) AS keep_id FROM k GROUP BY a, b
+        UNION ALL SELECT 'filename', count(DISTINCT wf_id), min(wf_id) FROM workflows WHERE filename IS NOT NULL GROUP BY {bare.format("filename")}"""
     return {
+        "p1_counts": counts,
         "p2_found": similar,
         "p10_found": f"""{windows} SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM (SELECT DISTINCT doc_id, h FROM s) a
                          JOIN (SELECT DISTINCT doc_id, h FROM s) b USING (h) WHERE a.doc_id < b.doc_id""",
