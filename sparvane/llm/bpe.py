@@ -12,7 +12,9 @@ of each token, the hashed gadget pairs, and a hashed byte trie.
 
 A byte string has exactly one path through the automaton, and so has each of its prefixes:
 encoding keeps, per prefix, the token its path ends with. Words are run in lockstep, thousands
-at a time, by table lookups in NumPy.
+at a time, by table lookups in NumPy. Where only few words have a length, such as long rules or blobs,
+each is read byte by byte instead: links from every trie node to the longest token that ends there, and
+from a token to the next shorter one, lead to the first token that fits, so time grows with the bytes.
 """
 
 from __future__ import annotations
@@ -34,6 +36,9 @@ DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 _NEVER = np.int64(1) << 40
 #: Words a worker remembers before it starts afresh; bounds its memory, not the result.
 _REMEMBERED = 150_000
+_REMEMBERED_BYTES = 16_000_000
+#: Fewer words of a length than this are read byte by byte.
+_FEW = 40
 
 
 def printable_bytes() -> list[str]:
@@ -129,6 +134,29 @@ class MergeAutomaton:
         self.first = self.arcs.get(np.arange(256))
         self.second = self.arcs.get((self.first.astype(np.int64)[:, None] << 8 | np.arange(256)).ravel())
         self.token_at = np.array(token_at, np.int32)
+        # Per node, the node of its longest proper suffix; by depth, so that a suffix comes before.
+        children: list[list[tuple[int, int]]] = [[] for _ in nodes]
+        for key, node in arcs:
+            children[key >> 8].append((key & 255, node))
+        fail, onward, todo = [0] * len(nodes), dict(arcs), [0]
+        for node in todo:  # grows while it is read
+            for byte, child in children[node]:
+                at = fail[node]
+                while node and at and (at << 8 | byte) not in onward:
+                    at = fail[at]
+                fail[child] = onward.get(at << 8 | byte, 0) if node else 0
+                todo.append(child)
+        # The longest token that ends at a node, and the next shorter one that ends where a token does.
+        ending, self.shorter = [-1] * len(nodes), np.full(len(self.left), -1, np.int32)
+        for node in todo[1:]:
+            ending[node] = token_at[node] if token_at[node] >= 0 else ending[fail[node]]
+            if token_at[node] >= 0:
+                self.shorter[token_at[node]] = ending[fail[node]]
+        self.fail, self.ending = np.array(fail, np.int32), np.array(ending, np.int32)
+        self.depth = np.zeros(len(self.left), np.int32)
+        for label, token in tokens:
+            self.depth[token] = len(label)
+        self.by_byte = None
 
     def _follows(self, x: np.ndarray, y: np.ndarray, now: np.ndarray | None = None) -> np.ndarray:
         """Whether the state of ``x`` has the arc ``y`` when the gadgets before ``now`` (all) are in."""
@@ -162,13 +190,71 @@ class MergeAutomaton:
             longest = int(by_size[at]) * 4 // 3 + 6  # shorter words are padded up to this
             end = min(int(np.searchsorted(by_size, longest, "right")), at + max(1, 400_000 // longest))
             some = order[at:end]
-            ids, number[some] = self._encode_group([words[j] for j in some.tolist()], by_size[at:end])
+            group = [words[j] for j in some.tolist()]
+            if len(group) < _FEW:
+                lists = [self._encode_long(w) for w in group]
+                ids, number[some] = np.array([i for x in lists for i in x], np.int32), [len(x) for x in lists]
+            else:
+                ids, number[some] = self._encode_group(group, by_size[at:end])
             flat.append(ids)
             at = end
         start = np.empty(len(words), np.int64)
         start[order] = np.cumsum(number[order]) - number[order]
         return np.concatenate(flat), start, number
 
+    def _encode_long(self, word: bytes) -> list[int]:
+        """The ids of one word, byte by byte."""
+        if self.by_byte is None:  # made by the process that meets a long word
+            here = self.arcs.keys >= 0
+            gadgets = self.pairs.keys >= 0
+            self.by_byte = (
+                dict(zip(self.arcs.keys[here].tolist(), self.arcs.values[here].tolist())), dict(zip(self.pairs.keys[gadgets].tolist(), self.pairs.values[gadgets].tolist())),
+                *(x.tolist() for x in (self.fail, self.ending, self.shorter, self.depth, self.left, self.right, self.time)), {},
+            )
+        arcs, pairs, fail, ending, shorter, depth, left, right, time, known = self.by_byte
+        if len(known) > 1_000_000:
+            known.clear()
+
+        def fits(x, y):
+            now = 1 << 40
+            while True:
+                gadget = pairs.get(x << 32 | y)
+                if gadget is not None and gadget < now:
+                    return False
+                tx, ty = time[x], time[y]
+                if tx < 0 and ty < 0:
+                    return True
+                if tx > ty:
+                    now, x = tx, right[x]
+                else:
+                    now, y = ty + 1, left[y]
+
+        last, node = [-1] * (len(word) + 1), 0
+        for end, byte in enumerate(word, 1):
+            while node and (node << 8 | byte) not in arcs:
+                node = fail[node]
+            node = arcs.get(node << 8 | byte, 0)
+            token = ending[node]
+            while token >= 0:
+                start = end - depth[token]
+                if not start:
+                    break
+                pair = last[start] << 32 | token
+                fine = known.get(pair)
+                if fine is None:
+                    fine = known[pair] = fits(last[start], token)
+                if fine:
+                    break
+                token = shorter[token]
+            if token < 0:
+                raise ValueError("a byte string has no path; the vocabulary lacks a byte")
+            last[end] = token
+        out, end = [], len(word)
+        while end:
+            out.append(last[end])
+            end -= depth[last[end]]
+        return out[::-1]
+
     def _encode_group(self, words: list[bytes], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n, length = len(words), int(size[-1])
         data = np.frombuffer(b"".join([w.ljust(length, b"\0") for w in words]), np.uint8).reshape(n, length).T.astype(np.int64)
@@ -211,7 +297,7 @@ class TextEncoder:
         self._forget()
 
     def _forget(self):
-        self.known, self.flat = {}, np.empty(0, np.int32)
+        self.known, self.flat, self.bytes = {}, np.empty(0, np.int32), 0
         self.start, self.number = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _look_up(self, texts):
@@ -219,9 +305,12 @@ class TextEncoder:
         split = [self.find(t) if t else [] for t in texts]
         words = list(chain.from_iterable(split))
         fresh = set(words).difference(self.known)
-        if len(self.known) + len(fresh) > _REMEMBERED:
+        more = sum(map(len, fresh))
+        if len(self.known) + len(fresh) > _REMEMBERED or self.bytes + more > _REMEMBERED_BYTES:
             self._forget()
             fresh = set(words)
+            more = sum(map(len, fresh))
+        self.bytes += more
         if fresh:
             flat, start, number = self.automaton.encode_words([w.encode() for w in fresh])
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))

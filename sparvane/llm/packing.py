@@ -1,24 +1,25 @@
 """Filling containers of a fixed capacity with items measured in tokens.
 
 The global histogram of lengths (at most ``capacity`` entries) says all that packing needs.
-Dynamic programming over it chooses length buckets that minimise padding. Packed on their own,
-the buckets above half the capacity would leave their containers up to half empty, so the
-token-budget batches are formed over buckets: a plan, made on bucket counts alone, tells how
-many containers take how many items of which buckets. Each item then finds its container from
-its rank within its bucket, so no container is ever gathered and no task sees more than a slice.
+Dynamic programming over it chooses length buckets that minimise padding; token-budget batches
+are formed inside each bucket, so many items to a container as its upper border allows. Left at
+that, the buckets above half the capacity would leave their containers up to half empty, so what
+room a batch leaves is filled from smaller buckets in the same way (``within=False``). The plan of
+all this, made on bucket counts alone, tells how many containers take how many items of which
+buckets. Each item then finds its container from its rank within its bucket, so no container is ever
+gathered and no task sees more than a slice.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
 
 BUCKETS = 160
-#: Candidate bucket borders; with more distinct lengths than this, borders lie on a grid.
-BORDERS = 1024
 #: Rows that one slice of a bucket is ranked in.
 SLICE_ROWS = 200_000
 
@@ -26,45 +27,58 @@ SLICE_ROWS = 200_000
 def length_buckets(lengths: np.ndarray, counts: np.ndarray, capacity: int, buckets: int = BUCKETS) -> np.ndarray:
     """Upper borders of at most ``buckets`` buckets with the least padding, by dynamic programming.
 
-    Padding is what items would take if each was as long as its bucket's upper border.
+    Padding is what items would take if each was as long as its bucket's upper border. That cost is Monge,
+    so the best cut of a longer prefix is never before that of a shorter one: with ``m`` distinct lengths each
+    round takes about ``m log m`` steps, and all lengths are borders to choose from.
     """
-    lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.float64)
-    if not len(lengths):
-        return np.empty(0, np.int64)
-    step = 1 if len(lengths) <= BORDERS else -(-capacity // BORDERS)
-    up = np.minimum(-(-lengths // step) * step, capacity)
-    borders = np.unique(up)
-    here = np.searchsorted(borders, up)
-    n = np.concatenate([[0], np.cumsum(np.bincount(here, counts))])
-    total = np.concatenate([[0], np.cumsum(np.bincount(here, counts * lengths))])
+    borders, here = np.unique(np.minimum(np.asarray(lengths, np.int64), capacity), return_inverse=True)
     m = len(borders)
     if m <= buckets:
         return borders
-    # cost[i, j]: padding of one bucket with the borders i..j-1, its items as long as border j-1
-    cost = np.full((m + 1, m + 1), np.inf)
-    i, j = np.triu_indices(m + 1, 1)
-    cost[i, j] = borders[j - 1] * (n[j] - n[i]) - (total[j] - total[i])
-    best, came = np.full(m + 1, np.inf), []
-    best[0] = 0
-    for _ in range(buckets):
-        sums = best[:, None] + cost
-        came.append(sums.argmin(axis=0))
-        best = sums.min(axis=0)
+    counts = np.asarray(counts, np.int64)
+    n = np.concatenate([[0], np.cumsum(np.bincount(here, counts).astype(np.int64))])
+    total = np.concatenate([[0], np.cumsum(np.bincount(here, counts * np.asarray(lengths, np.int64)).astype(np.int64))])
+    up = np.concatenate([[0], borders])
+
+    def cost(i, j):  # of one bucket with the lengths i..j-1; none with none
+        return up[j] * (n[j] - n[i]) - (total[j] - total[i])
+
+    best, came = cost(0, np.arange(m + 1)), []
+    for _ in range(buckets - 1):
+        cut, value = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
+        step = 1 << m.bit_length()
+        while step:
+            j = np.arange(step, m + 1, 2 * step)  # between those that are known
+            low, high = cut[j - step], j.copy()
+            known = j + step <= m
+            high[known] = np.minimum(high[known], cut[j[known] + step])
+            size = high - low + 1
+            starts = np.cumsum(size) - size
+            i = np.arange(size.sum()) - np.repeat(starts - low, size)
+            tried = best[i] + cost(i, np.repeat(j, size))
+            if len(j):
+                value[j] = np.minimum.reduceat(tried, starts)
+                hit = np.flatnonzero(tried == np.repeat(value[j], size))
+                cut[j] = i[hit[np.searchsorted(hit, starts)]]
+            step //= 2
+        came.append(cut.astype(np.int32))
+        best = value
     chosen, at = [], m
-    for back in reversed(came):
-        if at == 0:
-            break
+    for cut in reversed(came):
+        if at and cut[at] < at:
+            chosen.append(borders[at - 1])
+            at = int(cut[at])
+    if at:
         chosen.append(borders[at - 1])
-        at = int(back[at])
     return np.array(chosen[::-1], np.int64)
 
 
-def container_plan(borders: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[int, int, int, int, int]]:
+def container_plan(borders: np.ndarray, counts: np.ndarray, capacity: int, within: bool = False) -> list[tuple[int, int, int, int, int]]:
     """How containers are filled: ``(bucket, first rank, items each, first container, containers)``.
 
-    Largest bucket first; what room is left goes to the largest bucket that fits, so long as it
-    lasts. All containers that look alike are planned at once: the plan grows with the number of
-    buckets, not with that of items.
+    Largest bucket first, as many of its items as fit; unless batches are to stay ``within`` one bucket,
+    what room is left goes to the largest bucket that fits, so long as it lasts. All containers that look
+    alike are planned at once: the plan grows with the number of buckets, not with that of items.
     """
     left, used = counts.astype(np.int64).copy(), np.zeros(len(counts), np.int64)
     plan, container = [], 0
@@ -79,7 +93,7 @@ def container_plan(borders: np.ndarray, counts: np.ndarray, capacity: int) -> li
             each = int(min(room // borders[k], left[k]))
             recipe.append((k, each))
             room -= each * int(borders[k])
-            k -= 1
+            k = -1 if within else k - 1
         times = max(1, min(int(left[k] // each) for k, each in recipe))
         for k, each in recipe:
             plan.append((k, int(used[k]), each, container, times))
@@ -89,7 +103,24 @@ def container_plan(borders: np.ndarray, counts: np.ndarray, capacity: int) -> li
     return plan
 
 
-def pack(sized: DataFrame, capacity: int, id_col: str = "doc_id", size_col: str = "n_tokens", buckets: int = BUCKETS) -> DataFrame:
+def _bins(plan: np.ndarray):
+    """(bucket, rank) to the container, by a search in the plan's rows, which are sorted by both."""
+
+    def run(bucket: pa.Array, rank: pa.Array) -> pa.Array:
+        bucket, rank = bucket.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False)
+        out = np.empty(len(bucket), np.int64)
+        for b in np.unique(bucket):
+            own, rows = bucket == b, plan[plan[:, 0] == b]
+            _, first, each, container, _ = rows[np.searchsorted(rows[:, 1], rank[own], "right") - 1].T
+            out[own] = container + (rank[own] - first) // each
+        return pa.array(out)
+
+    return F.arrow_udf(run, "long")
+
+
+def pack(
+    sized: DataFrame, capacity: int, id_col: str = "doc_id", size_col: str = "n_tokens", buckets: int = BUCKETS, within: bool = False
+) -> DataFrame:
     """``(id, piece, start, n_tokens, bin_id)``: the containers of one capacity.
 
     Rows with a null or zero size are left out. An item larger than ``capacity`` is cut into
@@ -108,7 +139,6 @@ def pack(sized: DataFrame, capacity: int, id_col: str = "doc_id", size_col: str
     borders = length_buckets(lengths, counts, capacity, buckets)
     bucket_of = np.searchsorted(borders, lengths)
     held = np.bincount(bucket_of, counts, len(borders))
-    spark = sized.sparkSession
     # Rank within the bucket: rows are ranked in slices, and slices start where the one before ends.
     slices = max(1, int(-(-counts.sum() // SLICE_ROWS)))
     edges = F.array(*[F.lit(int(b)) for b in borders])
@@ -117,18 +147,13 @@ def pack(sized: DataFrame, capacity: int, id_col: str = "doc_id", size_col: str
     sizes = ranked.groupBy("bucket", "slice").count()
     w = Window.partitionBy("bucket").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", "slice", F.coalesce(F.sum("count").over(w), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("bucket", "slice").orderBy("id", "piece")
-    ranked = ranked.withColumn("rank", F.row_number().over(within) - 1).join(offsets, ["bucket", "slice"])
+    in_slice = Window.partitionBy("bucket", "slice").orderBy("id", "piece")
+    ranked = ranked.withColumn("rank", F.row_number().over(in_slice) - 1).join(offsets, ["bucket", "slice"])
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("offset"))
-    plan = spark.createDataFrame(
-        container_plan(borders, held, capacity), "bucket int, first long, each long, container long, times long"
-    )
-    # The plan's size depends on the capacity and the number of buckets only.
-    placed = ranked.join(F.broadcast(plan), "bucket").where(
-        (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("each") * F.col("times"))
-    )
-    bin_id = F.col("container") + ((F.col("rank") - F.col("first")) / F.col("each")).cast("long")
-    return placed.select(F.col("id").alias(id_col), "piece", "start", F.col("n").alias(size_col), bin_id.alias("bin_id"))
+    # The plan travels with the function that reads it: at most a few rows for each pair of buckets, whatever the data.
+    plan = np.array(sorted(container_plan(borders, held, capacity, within)), np.int64)
+    bin_id = _bins(plan)("bucket", "rank")
+    return ranked.select(F.col("id").alias(id_col), "piece", "start", F.col("n").alias(size_col), bin_id.alias("bin_id"))
 
 
 def pack_containers(sized: DataFrame, containers: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens") -> DataFrame:

@@ -1,6 +1,8 @@
 """The token automaton against the tokenizers library, and as an exact round trip."""
 
 import os
+import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -75,3 +77,19 @@ def test_operator(spark):
     back = out.select("doc_id", bpe.decode(out["ids"], bpe.compiled(spark)).alias("t"))
     assert {r["doc_id"]: r["t"] for r in back.collect()} == {k: t or "" for k, t in enumerate(ODD)}
     assert bpe.encode_corpus(frame.limit(0)).count() == 0
+
+
+def test_long_words(monkeypatch):
+    """Few words of a length are read byte by byte, many side by side: the ids are the same, in a time that grows with the bytes."""
+    automaton = bpe.MergeAutomaton.load(bpe.DEFAULT_VOCABULARY)
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("ab-=.é密xyz0") for _ in range(rnd.randint(1, 120))).encode() for _ in range(300)]
+    words += [b"-" * 777, b"=" * 2500, ("aGVsbG8" * 300).encode(), "密码".encode() * 500, bytes(range(256))]
+    out = []
+    for few in (0, 1000):
+        monkeypatch.setattr(bpe, "_FEW", few)
+        flat, start, number = automaton.encode_words(words)
+        out.append([flat[a : a + k].tolist() for a, k in zip(start, number)])
+    assert out[0] == out[1]
+    began = time.perf_counter()
+    assert len(automaton._encode_long(b"-" * 300_000)) < 300_000 and time.perf_counter() - began < 10

@@ -25,6 +25,22 @@ def test_buckets_are_optimal(histogram, buckets):
     assert len(got) <= max(buckets, 1) and padding(got.tolist()) == best
 
 
+def test_buckets_of_many_lengths():
+    """As good as by trying every cut, with thousands of lengths of a heavy tail."""
+    rnd = np.random.default_rng(2)
+    lengths, counts = np.unique(np.minimum((rnd.pareto(0.7, 20000) * 30).astype(int) + 1, 4096), return_counts=True)
+    borders = packing.length_buckets(lengths, counts, 4096, 20)
+    assert len(lengths) > 1024 and len(borders) == 20 and borders[-1] == lengths[-1]
+    n, total = (np.concatenate([[0], np.cumsum(x)]) for x in (counts, counts * lengths))
+    i, j = np.triu_indices(len(n), 1)
+    cost = np.full((len(n), len(n)), np.inf)
+    cost[i, j] = lengths[j - 1] * (n[j] - n[i]) - (total[j] - total[i])
+    best = cost[0].copy()
+    for _ in range(19):
+        best = np.minimum(best, (best[:, None] + cost).min(axis=0))
+    assert int(((borders[np.searchsorted(borders, lengths)] - lengths) * counts).sum()) == best[-1]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 100), st.integers(1, 30)), min_size=1, max_size=12))
 def test_plan_uses_every_item_once(items):
@@ -68,5 +84,12 @@ def test_pack(spark, monkeypatch):
         n = check([r for r in out if r["container"] == name], sizes, capacity)
         assert n <= 1.03 * -(-sum(x or 0 for x in sizes.values()) // capacity) + 1
     assert packing.pack_containers(frame.limit(0), containers).count() == 0
+    alone = packing.pack(frame.dropDuplicates(["doc_id"]), 512, within=True, buckets=30).collect()
+    assert check(alone, sizes, 512) > n
+    borders = packing.length_buckets(*np.unique([r["n_tokens"] for r in alone], return_counts=True), 512, 30)
+    own = {}
+    for r in alone:
+        own.setdefault(r["bin_id"], set()).add(int(np.searchsorted(borders, r["n_tokens"])))
+    assert {len(x) for x in own.values()} == {1}
     with pytest.raises(ValueError):
         packing.pack_containers(frame, containers.limit(0))
