@@ -17,27 +17,49 @@ def histogram_map(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def catalog_stats(rows: DataFrame) -> DataFrame:
-    """Totals, active and inactive rows, distinct integrations, nodes, last indexing, and both histograms."""
-    sums = rows.agg(
-        F.count("*").alias("total"),
-        F.count_if("active").alias("active"),
-        F.count_if(~F.col("active")).alias("inactive"),
-        F.coalesce(F.sum(F.col("node_count").cast("long")), F.lit(0)).alias("total_nodes"),
+    """Totals, active and inactive rows, distinct integrations, nodes, last indexing, and both histograms: one row from one scan.
+
+    Each row is counted once as a row, once for its trigger type and complexity, and once per integration;
+    counts are combined before they are shuffled.
+    """
+    def told(kind, value):
+        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+
+    own = F.array(told("row", F.lit(None)), told("trigger", F.col("trigger_type")), told("complexity", F.col("complexity")))
+    some = F.transform(F.coalesce(F.array_distinct("integrations"), F.array().cast("array<string>")), lambda x: told("integration", x))
+    items = rows.select("active", F.col("node_count").cast("long").alias("nodes"), "last_indexed", F.explode(F.concat(own, some)).alias("x"))
+    of_rows = F.col("x.kind") == "row"
+    counted = items.groupBy("x.kind", "x.value").agg(
+        F.count("*").alias("n"), F.count_if(of_rows & F.col("active")).alias("active"), F.count_if(of_rows & ~F.col("active")).alias("inactive"),
+        F.sum(F.when(of_rows, F.col("nodes"))).alias("nodes"), F.max("last_indexed").alias("last_indexed"),
+    )
+    kind, valued = F.col("kind"), F.col("value").isNotNull()
+    zero = lambda c: F.coalesce(c, F.lit(0))
+
+    def histogram_of(name):
+        return F.map_from_entries(F.array_sort(F.collect_list(F.when((kind == name) & valued, F.struct("value", "n")))))
+
+    return counted.agg(
+        zero(F.sum(F.when(kind == "row", F.col("n")))).alias("total"),
+        zero(F.sum("active")).alias("active"),
+        zero(F.sum("inactive")).alias("inactive"),
+        F.count_if((kind == "integration") & valued & (F.col("value") != "")).alias("unique_integrations"),
+        zero(F.sum("nodes")).alias("total_nodes"),
         F.max("last_indexed").alias("last_indexed"),
+        histogram_of("trigger").alias("triggers"),
+        histogram_of("complexity").alias("complexity"),
     )
-    unique = rows.select(F.explode("integrations").alias("i")).where("i != ''").agg(F.count_distinct("i").alias("unique_integrations"))
-    one = sums.crossJoin(unique)  # single rows
-    return one.crossJoin(histogram_map(rows, "trigger_type", "triggers")).crossJoin(histogram_map(rows, "complexity", "complexity"))
 
 
-def validity(files: DataFrame) -> DataFrame:
-    """Per file: whether it has a name, a list of nodes and an object of connections, and all three.
+def validity(files: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Per file: whether it has a name, a list of nodes and an object of connections, and all three; and the columns to ``keep``.
 
     An empty name is no name. The number of connections is that of the object's fields.
     """
     keys = F.json_object_keys("connections")
     return files.select(
         "file_id",
+        *(keep or []),
         F.coalesce("name", F.lit("Unnamed")).alias("name"),
         F.coalesce(F.when(F.size("nodes") >= 0, F.size("nodes")), F.lit(0)).alias("n_nodes"),
         F.coalesce(F.when(F.size(keys) >= 0, F.size(keys)), F.lit(0)).alias("n_connections"),
@@ -47,6 +69,18 @@ def validity(files: DataFrame) -> DataFrame:
     ).withColumn("valid", F.col("has_name") & F.col("has_nodes") & F.col("has_connections"))
 
 
+def verdict(valid: Column, total: Column, most: float = 0.8) -> Column:
+    """``all``, ``most`` (a share strictly above the limit) or ``some`` of the samples are valid; null for none at all."""
+    return F.when(total == 0, None).when(valid == total, "all").when(valid > total * most, "most").otherwise("some")
+
+
+def mean_of_passed(rows: DataFrame, by: list[str], always: list[str], optional: list[str], kind: str = "test", value: str = "elapsed_ms", ok: str = "ok") -> DataFrame:
+    """``(by, average)``: the mean over one figure per kind (its mean); optional kinds count only where one of their rows passed."""
+    per = rows.where(F.col(kind).isin(*always, *optional)).groupBy(*by, kind).agg(F.avg(value).alias("_v"), F.max(ok).alias("_ok"))
+    counts = F.col(kind).isin(*always) | F.coalesce("_ok", F.lit(False))
+    return per.groupBy(*by).agg(F.avg(F.when(counts, F.col("_v"))).alias("average"))
+
+
 def success_rate(df: DataFrame, by: list[str], ok: Column) -> DataFrame:
     """Rows, successes and their percentage per group; 0 for an empty whole."""
     out = df.groupBy(*by).agg(F.count("*").alias("total"), F.count_if(ok).alias("valid"))

@@ -104,6 +104,24 @@ def unpivot(df: DataFrame, ids: list[str], columns: list[str], variable: str = "
     return df.unpivot(ids, columns, variable, value)
 
 
+def pivot_counts(df: DataFrame, by: list[str], column: str, values: list, prefix: str = "") -> DataFrame:
+    """Rows per group and value, a column for each of ``values`` (named ``prefix`` and the value); 0 where there are none."""
+    out = df.groupBy(*by).pivot(column, values).count()
+    return out.select(*by, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).alias(f"{prefix}{v}") for v in values])
+
+
+def grouped_counts(df: DataFrame, by: list[str], sets: str | list[list[str]]) -> DataFrame:
+    """``(by, level, n)``: rows per ``cube``, ``rollup`` or list of grouping sets; ``level`` has a bit for each column summed over."""
+    keys = [F.col(c) for c in by]
+    if sets == "cube":
+        grouped = df.cube(*keys)
+    elif sets == "rollup":
+        grouped = df.rollup(*keys)
+    else:
+        grouped = df.groupingSets([[F.col(c) for c in some] for some in sets], *keys)
+    return grouped.agg(F.grouping_id().alias("level"), F.count("*").alias("n"))
+
+
 def item_lists(df: DataFrame, operation: str, **options) -> DataFrame:
     """The older single operator: dispatches to the ones above."""
     from .relational import remove_duplicates

@@ -49,11 +49,17 @@ def project_scan(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "workflows").select("wf_id", "filename", "name", "trigger_type")
 
 
-@query("""SELECT count(*) AS total, count(*) FILTER (WHERE active) AS active, count(*) FILTER (WHERE NOT active) AS inactive,
-                 (SELECT count(DISTINCT i) FROM (SELECT unnest(integrations) AS i FROM workflows) WHERE i <> '') AS unique_integrations,
-                 sum(node_count)::BIGINT AS total_nodes, max(last_indexed) AS last_indexed FROM workflows""")
+_HISTOGRAM = "(SELECT string_agg({0} || '=' || n, ',' ORDER BY {0}) FROM (SELECT {0}, count(*) AS n FROM workflows WHERE {0} IS NOT NULL GROUP BY 1))"
+
+
+@query(f"""SELECT count(*) AS total, count(*) FILTER (WHERE active) AS active, count(*) FILTER (WHERE NOT active) AS inactive,
+                  (SELECT count(DISTINCT i) FROM (SELECT unnest(integrations) AS i FROM workflows) WHERE i <> '') AS unique_integrations,
+                  sum(node_count)::BIGINT AS total_nodes, max(last_indexed) AS last_indexed, {_HISTOGRAM.format("trigger_type")} AS triggers,
+                  {_HISTOGRAM.format("complexity")} AS complexity FROM workflows""")
 def stats_summary(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.catalog_stats(table(spark, d, "workflows")).drop("triggers", "complexity")
+    stats = catalog.catalog_stats(table(spark, d, "workflows"))
+    told = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias(c)
+    return stats.select(*[c for c in stats.columns if c not in ("triggers", "complexity")], told("triggers"), told("complexity"))
 
 
 @query("SELECT trigger_type, count(*) AS n FROM workflows WHERE trigger_type IS NOT NULL GROUP BY 1")
@@ -72,19 +78,22 @@ def complexity_bucket(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("wf_id", "node_count", catalog.complexity(n).alias("complexity_class"), catalog.time_bucket(n).alias("time_bucket"))
 
 
-@query("""SELECT file_id, coalesce(name, 'Unnamed') AS name, coalesce(len(nodes), 0)::INT AS n_nodes,
-                 coalesce(name <> '', false) AS has_name, nodes IS NOT NULL AS has_nodes FROM workflow_json""")
+_VALID = """(SELECT file_id, repo, coalesce(name, 'Unnamed') AS name, coalesce(len(nodes), 0)::INT AS n_nodes, coalesce(name <> '', false) AS has_name,
+                     nodes IS NOT NULL AS has_nodes, o IS NOT NULL AS has_connections, coalesce(len(json_keys(o)), 0)::INT AS n_connections,
+                     coalesce(name <> '', false) AND nodes IS NOT NULL AND o IS NOT NULL AS valid FROM
+              (SELECT *, CASE WHEN json_valid(connections) THEN CASE WHEN json_type(connections) = 'OBJECT' THEN connections::JSON END END AS o FROM workflow_json))"""
+
+
+@query(f"SELECT * EXCLUDE (repo) FROM {_VALID}")
 def structure_check(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.validity(table(spark, d, "workflow_json")).select("file_id", "name", "n_nodes", "has_name", "has_nodes")
+    return catalog.validity(table(spark, d, "workflow_json"))
 
 
-@query("""SELECT repo, count(*) AS total, count(*) FILTER (WHERE coalesce(name <> '', false) AND nodes IS NOT NULL
-                 AND CASE WHEN json_valid(connections) THEN json_type(connections) = 'OBJECT' ELSE false END) AS valid FROM workflow_json GROUP BY repo""")
+@query(f"""SELECT repo, count(*) AS total, count(*) FILTER (WHERE valid) AS valid, CASE WHEN count(*) FILTER (WHERE valid) = count(*) THEN 'all'
+                  WHEN count(*) FILTER (WHERE valid) > count(*) * 0.8 THEN 'most' ELSE 'some' END AS verdict FROM {_VALID} GROUP BY repo""")
 def validity_by_group(spark: SparkSession, d: str) -> DataFrame:
-    files = table(spark, d, "workflow_json")
-    return files.select("repo", "file_id").join(catalog.validity(files).select("file_id", "valid"), "file_id").groupBy("repo").agg(
-        F.count("*").alias("total"), F.count_if("valid").alias("valid")
-    )
+    counted = catalog.validity(table(spark, d, "workflow_json"), ["repo"]).groupBy("repo").agg(F.count("*").alias("total"), F.count_if("valid").alias("valid"))
+    return counted.withColumn("verdict", catalog.verdict(F.col("valid"), F.col("total")))
 
 
 @query("""SELECT test, count(*) AS total, count(*) FILTER (WHERE ok) AS valid,
@@ -106,6 +115,15 @@ def average_latency(spark: SparkSession, d: str) -> DataFrame:
     return rows.agg(F.round(F.avg(F.when(F.col("ok"), F.col("elapsed_ms"))), 4).alias("avg_ok"), F.round(F.avg("elapsed_ms"), 4).alias("avg_all"))
 
 
+@query("""SELECT day, round(avg(v), 4) AS average FROM (SELECT run_at::DATE AS day, test, avg(elapsed_ms) AS v, coalesce(bool_or(ok), false) AS passed FROM timing
+          WHERE test IN ('count', 'fulltext', 'filter') GROUP BY ALL) WHERE test <> 'fulltext' OR passed GROUP BY day
+          UNION ALL SELECT day, NULL FROM (SELECT run_at::DATE AS day, bool_and(test = 'fulltext' AND NOT coalesce(ok, false)) AS none FROM timing
+          WHERE test IN ('count', 'fulltext', 'filter') GROUP BY 1) WHERE none""")
+def mean_of_passed(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "timing").withColumn("day", F.to_date("run_at"))
+    return catalog.mean_of_passed(rows, ["day"], ["count", "filter"], ["fulltext"]).select("day", F.round("average", 4).alias("average"))
+
+
 @query("""SELECT test, b AS before_n, a AS after_n, round((a - b) * 100.0 / nullif(b, 0), 4) AS change FROM (
           SELECT test, count(*) FILTER (WHERE run_at < TIMESTAMP '2024-04-01') AS b,
                  count(*) FILTER (WHERE run_at >= TIMESTAMP '2024-04-01') AS a FROM timing GROUP BY test)""")
@@ -119,31 +137,26 @@ def improvement_pct(spark: SparkSession, d: str) -> DataFrame:
 _TYPES = "(SELECT file_id, coalesce(list_transform(nodes, lambda n: n.type), []) AS t FROM workflow_json)"
 
 
-@query(f"""SELECT file_id, len(t)::INT AS n_nodes,
-                  len(list_filter(t, lambda x: regexp_matches(lower(x), 'trigger|webhook|cron')))::INT AS n_triggers,
+_BRANDS = " || ".join(f"CASE WHEN len(list_filter(t, lambda x: contains(lower(x), '{b}'))) > 0 THEN '{b},' ELSE '' END" for b in catalog.BRANDS)
+
+
+@query(f"""SELECT file_id, n_nodes, n_triggers, n_nodes - n_triggers AS n_processing, handles_errors, n_types, rtrim(brands, ',') AS brands,
+                  CASE WHEN n_nodes <= 5 THEN 'Simple' WHEN n_nodes <= 15 THEN 'Moderate' ELSE 'Complex' END AS complexity FROM (
+           SELECT file_id, len(t)::INT AS n_nodes, len(list_filter(t, lambda x: regexp_matches(lower(x), 'trigger|webhook|cron')))::INT AS n_triggers,
                   len(list_filter(t, lambda x: regexp_matches(lower(x), 'stop(and|with)error|errortrigger'))) > 0 AS handles_errors,
-                  (len(list_distinct(t)) + (len(list_filter(t, lambda x: x IS NULL)) > 0)::INT)::INT AS n_types FROM {_TYPES}""")
+                  (len(list_distinct(t)) + (len(list_filter(t, lambda x: x IS NULL)) > 0)::INT)::INT AS n_types, {_BRANDS} AS brands FROM {_TYPES})""")
 def node_profile(spark: SparkSession, d: str) -> DataFrame:
-    profile = catalog.node_profile(table(spark, d, "workflow_json"))
-    return profile.select("file_id", "n_nodes", "n_triggers", "handles_errors", "n_types")
+    return catalog.node_profile(table(spark, d, "workflow_json"))
 
 
-@query("""SELECT wf_id, filename, CASE WHEN regexp_matches(filename, '^[0-9]{4}_') THEN substr(filename, 1, 4)::INT END AS number,
-                 CASE WHEN strpos(regexp_replace(filename, '\\.json$', ''), '_') > 0
-                      THEN list_extract(string_split(regexp_replace(filename, '\\.json$', ''), '_'), -1) END AS kind
-          FROM workflows WHERE regexp_matches(filename, '^[0-9]{4}_[A-Za-z]+_[A-Za-z_]+\\.json$')""")
+@query("""SELECT wf_id, filename, number, CASE WHEN len(rest) >= 2 THEN array_to_string(rest[:-3], '_') END AS services,
+                 CASE WHEN len(rest) >= 2 THEN rest[-2] END AS action, CASE WHEN len(rest) >= 1 THEN rest[-1] END AS kind
+          FROM (SELECT wf_id, filename, CASE WHEN numbered THEN parts[1]::BIGINT END AS number, CASE WHEN numbered THEN parts[2:] ELSE parts END AS rest
+          FROM (SELECT *, regexp_matches(parts[1], '^[0-9]{1,18}$') AS numbered
+          FROM (SELECT wf_id, filename, string_split(regexp_replace(filename, '\\.json$', ''), '_') AS parts FROM workflows WHERE filename IS NOT NULL)))""")
 def filename_parts(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "workflows").where(F.col("filename").rlike(r"^[0-9]{4}_[A-Za-z]+_[A-Za-z_]+\.json$"))
-    rows = rows.withColumn("p", text.filename_parts(F.col("filename")))
-    return rows.select("wf_id", "filename", F.col("p.number").cast("int").alias("number"), "p.kind")
-
-
-@query("""SELECT wf_id, filename, CASE WHEN regexp_matches(parts[1], '^[0-9]{1,18}$') THEN parts[1]::BIGINT END AS number,
-                 CASE WHEN len(parts) > 1 OR NOT regexp_matches(parts[1], '^[0-9]{1,18}$') THEN parts[-1] END AS kind
-          FROM (SELECT wf_id, filename, string_split(regexp_replace(filename, '\\.json$', ''), '_') AS parts FROM workflows WHERE filename IS NOT NULL)""")
-def filename_parts_all(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "workflows").where(F.col("filename").isNotNull()).withColumn("p", text.filename_parts(F.col("filename")))
-    return rows.select("wf_id", "filename", "p.number", "p.kind")
+    return rows.select("wf_id", "filename", "p.number", "p.services", "p.action", "p.kind")
 
 
 @query("""SELECT wf_id, CASE len(integrations) WHEN 1 THEN integrations[1] WHEN 2 THEN integrations[1] || ' and ' || integrations[2]
@@ -174,14 +187,17 @@ def hash_ops(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", *[codes.digest(F.col("text"), k).alias(k) for k in kinds])
 
 
-@query("SELECT doc_id, source AS title, 'https://' || source || '.example/' || doc_id AS link, 'Document ' || doc_id AS body FROM documents WHERE source IS NOT NULL")
+@query(r"""SELECT doc_id, coalesce(source, '-') AS title, ['https://docs.example/' || doc_id] AS links,
+                  array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[\s\x0b\x1c-\x1f\x{85}\p{Z}]+', ' ', 'g'), ' ')),
+                                              lambda x: x <> ''), chr(10)) AS body FROM documents WHERE text IS NOT NULL""")
 def html_extract(spark: SparkSession, d: str) -> DataFrame:
-    page = F.format_string(
-        "<html><head><title>%s</title><style>p {}</style></head><body><p>Document  %s</p><a href='https://%s.example/%s'></a></body>",
-        "source", "doc_id", "source", "doc_id",
+    """Every document's whole text, set as a page with marks and hidden parts, comes back from it."""
+    escaped = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    page = F.concat(
+        F.lit("<html><head><title>"), F.coalesce("source", F.lit("-")), F.lit("</title><style>p {}</style></head><body><script>x < y</script><p>"),
+        escaped, F.lit("</p><a href='https://docs.example/"), F.col("doc_id"), F.lit("'></a></body>"),
     )
-    rows = table(spark, d, "documents").where("source is not null").select("doc_id", text.html_extract(page).alias("p"))
-    return rows.select("doc_id", F.col("p.title").alias("title"), F.col("p.links")[0].alias("link"), F.col("p.text").alias("body"))
+    return table(spark, d, "documents").where("text is not null").select("doc_id", text.html_extract(page).alias("p")).selectExpr("doc_id", "p.title", "p.links", "p.text AS body")
 
 
 @query("SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events")
@@ -195,44 +211,51 @@ def xml_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("c_custkey", F.from_xml("x", "c_name string, c_acctbal double").alias("r")).select("c_custkey", "r.*")
 
 
-@query("""SELECT c_custkey, 'Write to <email> or <ip>' AS masked FROM customer""")
+_MASKED = "text"
+for _pattern, _mark in text.MASKS:
+    _MASKED = f"regexp_replace({_MASKED}, '{_pattern}', '{_mark.replace('$', chr(92))}', 'g')"
+
+
+@query(f"SELECT doc_id, {_MASKED} AS masked FROM documents")
 def mask_sensitive(spark: SparkSession, d: str) -> DataFrame:
-    told = F.format_string("Write to c%s@mail.example or 10.0.0.%s", "c_custkey", (F.col("c_custkey") % 250).cast("string"))
-    return table(spark, d, "customer").select("c_custkey", text.mask_sensitive(told).alias("masked"))
+    return table(spark, d, "documents").select("doc_id", text.mask_sensitive(F.col("text")).alias("masked"))
 
 
 _URLS = """(SELECT file_id, k - 1 AS node_pos, n.parameters['url'] AS url FROM (SELECT file_id, unnest(nodes) AS n, generate_subscripts(nodes, 1) AS k FROM workflow_json))"""
 
 
-@query(f"""SELECT file_id, node_pos::INT AS node_pos, regexp_extract(url, '^([a-z]+)://', 1) AS protocol, regexp_extract(url, '^[a-z]+://([^/?@:]+)', 1) AS host,
-                  regexp_extract(url, '^[a-z]+://[^/?]+([^?]*)', 1) AS path FROM {_URLS} WHERE regexp_matches(url, '^https://[a-z0-9.]+/[a-z0-9/-]*$')""")
-def url_parts(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "workflow_json").select("file_id", F.posexplode("nodes").alias("node_pos", "n"))
-    rows = rows.select("file_id", "node_pos", F.col("n.parameters")["url"].alias("url")).where(F.col("url").rlike("^https://[a-z0-9.]+/[a-z0-9/-]*$"))
-    return rows.withColumn("p", text.url_parts(F.col("url"))).select("file_id", "node_pos", "p.protocol", "p.host", "p.path")
+_PART = r"CASE WHEN fine THEN nullif(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)(?:[?]([^#]*))?', {}), '') END"
 
 
-@query()
-def url_parts_all(spark: SparkSession, d: str) -> DataFrame:
-    """Of every url that is not null; SQL has no parser for the full form, so a fixture tests it."""
+@query(rf"""SELECT file_id, node_pos::INT AS node_pos, {_PART.format(1)} AS protocol, {_PART.format(2)} AS host, coalesce({_PART.format(3)}, CASE WHEN fine THEN '' END) AS path,
+                   {_PART.format(4)} AS query FROM (SELECT *, regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://') AND NOT regexp_matches(url, '[\s{{}}|\\^`<>"\[\]]') AS fine FROM {_URLS})
+            WHERE url IS NOT NULL""")
+def url_parts(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "workflow_json").select("file_id", F.posexplode("nodes").alias("node_pos", "n"))
     rows = rows.select("file_id", "node_pos", F.col("n.parameters")["url"].alias("url")).where(F.col("url").isNotNull())
     return rows.withColumn("p", text.url_parts(F.col("url"))).select("file_id", "node_pos", "p.protocol", "p.host", "p.path", "p.query")
 
 
-@query("""SELECT file_id, k::INT AS node_pos, CASE WHEN m LIKE '[%' THEN array_to_string(regexp_extract_all(m, '[A-Z]+'), '+') ELSE m END AS methods FROM (
-          SELECT file_id, generate_subscripts(nodes, 1) - 1 AS k, unnest(nodes).parameters['method'] AS m FROM workflow_json) WHERE m IS NOT NULL
-          AND regexp_matches(m, '^([A-Z]+|\\[''[A-Z'', ]+''\\])$')""")
+@query("""SELECT file_id, k::INT AS node_pos, CASE WHEN ltrim(m) LIKE '[%' THEN CASE WHEN json_valid(replace(m, chr(39), '"')) THEN
+                 array_to_string(from_json(replace(m, chr(39), '"'), '["VARCHAR"]'), '+') END ELSE m END AS methods FROM (
+          SELECT file_id, generate_subscripts(nodes, 1) - 1 AS k, unnest(nodes).parameters['method'] AS m FROM workflow_json) WHERE m IS NOT NULL""")
 def webhook_methods(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "workflow_json").select("file_id", F.posexplode("nodes").alias("node_pos", "n"))
-    rows = rows.select("file_id", "node_pos", F.col("n.parameters")["method"].alias("m")).where(F.col("m").rlike(r"^([A-Z]+|\['[A-Z', ]+'\])$"))
+    rows = rows.select("file_id", "node_pos", F.col("n.parameters")["method"].alias("m")).where(F.col("m").isNotNull())
     return rows.select("file_id", "node_pos", F.array_join(text.parse_list_literal(F.col("m")), "+").alias("methods"))
 
 
-@query("SELECT s_suppkey, round(s_acctbal * 0.3048, 6) AS metres, NULL::DOUBLE AS grams FROM supplier")
+_FACTORS = " ".join(f"WHEN '{u}' THEN {f!r}::DOUBLE" for u, (_, f) in codes.UNITS.items())
+_KINDS = " ".join(f"WHEN '{u}' THEN '{k}'" for u, (k, _) in codes.UNITS.items())
+
+
+@query(f"""SELECT s_suppkey, a, b, CASE WHEN CASE a {_KINDS} END = CASE b {_KINDS} END THEN s_acctbal * CASE a {_FACTORS} END / CASE b {_FACTORS} END END AS converted
+           FROM supplier, (SELECT unnest({list(codes.UNITS)}) AS a), (SELECT unnest({list(codes.UNITS)}) AS b)""")
 def convert_units(spark: SparkSession, d: str) -> DataFrame:
-    to = lambda unit: F.round(codes.convert_unit(F.col("s_acctbal"), F.lit("ft"), F.lit(unit)), 6)
-    return table(spark, d, "supplier").select("s_suppkey", to("m").alias("metres"), to("g").alias("grams"))
+    """Every balance from every unit to every other; null between unlike quantities."""
+    units = F.array(*map(F.lit, codes.UNITS))
+    rows = table(spark, d, "supplier").select("s_suppkey", "s_acctbal", F.explode(units).alias("a")).withColumn("b", F.explode(units))
+    return rows.select("s_suppkey", "a", "b", codes.convert_unit(F.col("s_acctbal"), F.col("a"), F.col("b")).alias("converted"))
 
 
 @query("SELECT s_suppkey, s_name AS back FROM supplier")
@@ -240,6 +263,14 @@ def base64_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "supplier").select("s_suppkey", codes.from_base64(codes.to_base64(F.col("s_name"))).alias("back"))
 
 
-@query()
+def _padded(key: bytes, mask: int) -> str:
+    """A key of the keyed hash, filled up to a block of 64 bytes and masked, as a blob of SQL."""
+    return "'" + "".join(f"\\x{b ^ mask:02x}" for b in key.ljust(64, b"\0")) + "'::BLOB"
+
+
+_KEY = b"shared key"
+
+
+@query(f"SELECT event_id, sha256({_padded(_KEY, 0x5C)} || unhex(sha256({_padded(_KEY, 0x36)} || encode(props)))) AS signature FROM events")
 def hmac_sign(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select("event_id", codes.hmac_hex(F.col("props"), b"shared key").alias("signature"))
+    return table(spark, d, "events").select("event_id", codes.hmac_hex(F.col("props"), _KEY).alias("signature"))

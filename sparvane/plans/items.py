@@ -18,46 +18,48 @@ def merge_append(spark: SparkSession, d: str) -> DataFrame:
     return r.merge_append(a, table(spark, d, "supplier").selectExpr("s_suppkey AS key", "s_name AS name"))
 
 
-def _orders(spark, d):
-    return table(spark, d, "orders").selectExpr("o_custkey AS key", "o_orderkey", "o_totalprice")
+def _files(spark, d):
+    return table(spark, d, "workflow_json").selectExpr("wf_id AS key", "file_id", "name")
 
 
-def _customers(spark, d):
-    return table(spark, d, "customer").where("c_custkey % 3 != 0").selectExpr("c_custkey AS key", "c_name")
+def _rows(spark, d):
+    return table(spark, d, "workflows").selectExpr("wf_id AS key", "name", "category", "loaded_at")
 
 
-_ORDERS = "(SELECT o_custkey AS key, o_orderkey, o_totalprice FROM orders)"
-_CUSTOMERS = "(SELECT c_custkey AS key, c_name FROM customer WHERE c_custkey % 3 <> 0)"
+#: Files of workflows, of which many have none and several may share one, and catalog rows, some of them delivered twice.
+_FILES = "(SELECT wf_id AS key, file_id, name FROM workflow_json) a"
+_ROWS = "(SELECT wf_id AS key, name AS name_right, category, loaded_at FROM workflows) b"
+_BOTH = "key, file_id, name, name_right, category, loaded_at"
 
 
-@query(f"SELECT * FROM {_ORDERS} JOIN {_CUSTOMERS} USING (key)")
+@query(f"SELECT {_BOTH} FROM {_FILES} JOIN {_ROWS} USING (key)")
 def merge_inner(spark: SparkSession, d: str) -> DataFrame:
-    return r.merge_by_key(_orders(spark, d), _customers(spark, d), ["key"])
+    return r.merge_by_key(_files(spark, d), _rows(spark, d), ["key"])
 
 
-@query(f"SELECT * FROM {_ORDERS} LEFT JOIN {_CUSTOMERS} USING (key)")
+@query(f"SELECT {_BOTH} FROM {_FILES} LEFT JOIN {_ROWS} USING (key)")
 def merge_left(spark: SparkSession, d: str) -> DataFrame:
-    return r.merge_by_key(_orders(spark, d), _customers(spark, d), ["key"], "left")
+    return r.merge_by_key(_files(spark, d), _rows(spark, d), ["key"], "left")
 
 
-@query(f"SELECT key, o_orderkey, o_totalprice, c_name FROM {_ORDERS} RIGHT JOIN {_CUSTOMERS} USING (key)")
+@query(f"SELECT {_BOTH} FROM {_FILES} RIGHT JOIN {_ROWS} USING (key)")
 def merge_right(spark: SparkSession, d: str) -> DataFrame:
-    return r.merge_by_key(_orders(spark, d), _customers(spark, d), ["key"], "right")
+    return r.merge_by_key(_files(spark, d), _rows(spark, d), ["key"], "right")
 
 
-@query(f"SELECT * FROM {_ORDERS} FULL JOIN {_CUSTOMERS} USING (key)")
+@query(f"SELECT {_BOTH} FROM {_FILES} FULL JOIN {_ROWS} USING (key)")
 def merge_full(spark: SparkSession, d: str) -> DataFrame:
-    return r.merge_by_key(_orders(spark, d), _customers(spark, d), ["key"], "full_outer")
+    return r.merge_by_key(_files(spark, d), _rows(spark, d), ["key"], "full_outer")
 
 
-@query(f"SELECT * FROM {_ORDERS} SEMI JOIN {_CUSTOMERS} USING (key)")
+@query(f"SELECT key, file_id, name FROM {_FILES} SEMI JOIN {_ROWS} USING (key)")
 def merge_semi(spark: SparkSession, d: str) -> DataFrame:
-    return r.merge_by_key(_orders(spark, d), _customers(spark, d), ["key"], "left_semi")
+    return r.merge_by_key(_files(spark, d), _rows(spark, d), ["key"], "left_semi")
 
 
-@query(f"SELECT * FROM {_ORDERS} ANTI JOIN {_CUSTOMERS} USING (key)")
+@query(f"SELECT key, name_right AS name, category, loaded_at FROM {_ROWS} ANTI JOIN {_FILES} USING (key)")
 def merge_anti(spark: SparkSession, d: str) -> DataFrame:
-    return r.merge_by_key(_orders(spark, d), _customers(spark, d), ["key"], "left_anti")
+    return r.merge_by_key(_rows(spark, d), _files(spark, d), ["key"], "left_anti")
 
 
 @query("""SELECT * FROM (SELECT row_number() OVER (ORDER BY s_name, s_suppkey) - 1 AS position, * FROM supplier) JOIN
@@ -78,35 +80,35 @@ def theta_join(spark: SparkSession, d: str) -> DataFrame:
     return joined.select("s_suppkey", "r_name")
 
 
-_A = "(SELECT c_custkey AS key, c_mktsegment AS segment FROM customer WHERE c_custkey % 5 <> 0)"
-_B = "(SELECT c_custkey AS key, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS segment FROM customer WHERE c_custkey % 3 <> 0)"
+#: Titles per workflow as its files and as the catalog have them.
+_A = "(SELECT wf_id AS key, min(name) AS title, count(*) AS n FROM workflow_json WHERE wf_id IS NOT NULL GROUP BY wf_id)"
+_B = "(SELECT wf_id AS key, min(name) AS title, count(*) AS n FROM workflows GROUP BY wf_id)"
 
 
 def _two(spark, d):
-    rows = table(spark, d, "customer")
-    a = rows.where("c_custkey % 5 != 0").selectExpr("c_custkey AS key", "c_mktsegment AS segment")
-    other = "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS segment"
-    return a, rows.where("c_custkey % 3 != 0").selectExpr("c_custkey AS key", other)
+    both = (table(spark, d, "workflow_json").where("wf_id is not null"), table(spark, d, "workflows"))
+    return [t.groupBy(F.col("wf_id").alias("key")).agg(F.min("name").alias("title"), F.count("*").alias("n")) for t in both]
 
 
-@query(f"""SELECT key, CASE WHEN b.k IS NULL THEN 'only_a' WHEN a.k IS NULL THEN 'only_b'
-                  WHEN a_segment IS NOT DISTINCT FROM b_segment THEN 'same' ELSE 'different' END AS status, a_segment, b_segment
-           FROM (SELECT key, key AS k, segment AS a_segment FROM {_A}) a FULL JOIN (SELECT key, key AS k, segment AS b_segment FROM {_B}) b USING (key)""")
+_FULL = f"""(SELECT key, k IS NOT NULL AS in_a, l IS NOT NULL AS in_b, a_title, b_title, a_n, b_n, a_title IS NOT DISTINCT FROM b_title AND a_n = b_n AS same
+            FROM (SELECT key, key AS k, title AS a_title, n AS a_n FROM {_A}) FULL JOIN (SELECT key, key AS l, title AS b_title, n AS b_n FROM {_B}) USING (key))"""
+
+
+@query(f"""SELECT key, CASE WHEN NOT in_b THEN 'only_a' WHEN NOT in_a THEN 'only_b' WHEN same THEN 'same' ELSE 'different' END AS status,
+                  a_title, b_title, a_n, b_n FROM {_FULL}""")
 def compare_datasets(spark: SparkSession, d: str) -> DataFrame:
     return r.compare_datasets(*_two(spark, d), ["key"])
 
 
-@query(f"""SELECT key, CASE WHEN b.k IS NULL THEN 'insert' WHEN a.k IS NULL THEN 'delete' ELSE 'update' END AS action
-           FROM (SELECT key, key AS k, segment AS s FROM {_A}) a FULL JOIN (SELECT key, key AS k, segment AS t FROM {_B}) b USING (key)
-           WHERE a.k IS NULL OR b.k IS NULL OR s IS DISTINCT FROM t""")
+@query(f"SELECT key, CASE WHEN NOT in_b THEN 'insert' WHEN NOT in_a THEN 'delete' ELSE 'update' END AS action FROM {_FULL} WHERE NOT (in_a AND in_b AND same)")
 def sync_plan(spark: SparkSession, d: str) -> DataFrame:
     return r.sync_plan(*_two(spark, d), ["key"])
 
 
-@query(f"SELECT key, coalesce(b.segment, a.segment) AS segment FROM {_A} a LEFT JOIN {_B} b USING (key)")
+@query(f"SELECT key, coalesce(a.title, b.title) AS title, b.n AS n FROM {_B} b LEFT JOIN {_A} a USING (key)")
 def prefer_existing(spark: SparkSession, d: str) -> DataFrame:
     a, b = _two(spark, d)
-    return r.prefer_existing(a, b, ["key"], "segment")
+    return r.prefer_existing(b, a, ["key"], "title")
 
 
 @query("SELECT DISTINCT l_partkey, l_suppkey FROM lineitem")
@@ -114,9 +116,9 @@ def remove_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return r.remove_duplicates(table(spark, d, "lineitem").select("l_partkey", "l_suppkey"), ["l_partkey", "l_suppkey"])
 
 
-@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT wf_id FROM workflows EXCEPT SELECT wf_id FROM workflow_json")
 def set_difference(spark: SparkSession, d: str) -> DataFrame:
-    return r.difference(table(spark, d, "customer").select("c_custkey"), table(spark, d, "orders").select("o_custkey"))
+    return r.difference(table(spark, d, "workflows").select("wf_id"), table(spark, d, "workflow_json").select("wf_id"))
 
 
 @query("SELECT c_nationkey AS nation FROM customer INTERSECT SELECT s_nationkey FROM supplier")
@@ -233,16 +235,31 @@ def unpivot(spark: SparkSession, d: str) -> DataFrame:
     return shape.unpivot(rows, ["p_partkey"], ["p_size", "p_retailprice"])
 
 
-@query("""SELECT c_mktsegment, count(*) FILTER (WHERE c_nationkey = 0) AS n0, count(*) FILTER (WHERE c_nationkey = 1) AS n1 FROM customer GROUP BY 1""")
+_NATIONS = range(25)  # the whole of the nation table
+
+
+@query("SELECT c_mktsegment, " + ", ".join(f"count(*) FILTER (WHERE c_nationkey = {k}) AS n{k}" for k in _NATIONS) + " FROM customer GROUP BY 1")
 def pivot_counts(spark: SparkSession, d: str) -> DataFrame:
-    out = table(spark, d, "customer").groupBy("c_mktsegment").pivot("c_nationkey", [0, 1]).count()
-    return out.select("c_mktsegment", F.coalesce("0", F.lit(0)).alias("n0"), F.coalesce("1", F.lit(0)).alias("n1"))
+    return shape.pivot_counts(table(spark, d, "customer"), ["c_mktsegment"], "c_nationkey", list(_NATIONS), "n")
+
 
+_GROUPED = """SELECT l_returnflag, l_linestatus, grouping(l_returnflag, l_linestatus)::BIGINT AS level, count(*) AS n
+              FROM lineitem GROUP BY {} (l_returnflag, l_linestatus)"""
 
-@query("""SELECT l_returnflag, l_linestatus, grouping(l_returnflag, l_linestatus)::BIGINT AS level, count(*) AS n
-          FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)""")
+
+@query(_GROUPED.format("CUBE"))
 def cube_counts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.grouping_id().alias("level"), F.count("*").alias("n"))
+    return shape.grouped_counts(table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "cube")
+
+
+@query(_GROUPED.format("ROLLUP"))
+def rollup_counts(spark: SparkSession, d: str) -> DataFrame:
+    return shape.grouped_counts(table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "rollup")
+
+
+@query("""SELECT event_type, user_id, grouping(event_type, user_id)::BIGINT AS level, count(*) AS n FROM events GROUP BY GROUPING SETS ((event_type), (user_id), ())""")
+def grouping_sets(spark: SparkSession, d: str) -> DataFrame:
+    return shape.grouped_counts(table(spark, d, "events"), ["event_type", "user_id"], [["event_type"], ["user_id"], []])
 
 
 @query("""SELECT event_id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n <= 5""")
@@ -257,10 +274,12 @@ def rolling_list(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("event_id", F.array_join("window", ">").alias("path"))
 
 
-@query("""SELECT wf_id, max(loaded_at) AS loaded_at FROM workflows GROUP BY wf_id""")
+@query("""SELECT wf_id, repo, filename, name, category, trigger_type, node_count, last_indexed, loaded_at FROM (SELECT *, row_number() OVER (PARTITION BY wf_id
+          ORDER BY loaded_at DESC NULLS LAST, last_indexed DESC NULLS LAST, filename, name) AS k FROM workflows) WHERE k = 1""")
 def latest_per_key(spark: SparkSession, d: str) -> DataFrame:
-    order = [F.desc_nulls_last("loaded_at"), F.desc_nulls_last("last_indexed")]
-    return r.remove_duplicates(table(spark, d, "workflows").select("wf_id", "loaded_at", "last_indexed"), ["wf_id"], order).select("wf_id", "loaded_at")
+    order = [F.desc_nulls_last("loaded_at"), F.desc_nulls_last("last_indexed"), F.asc_nulls_last("filename"), F.asc_nulls_last("name")]
+    rows = table(spark, d, "workflows").select("wf_id", "repo", "filename", "name", "category", "trigger_type", "node_count", "last_indexed", "loaded_at")
+    return r.remove_duplicates(rows, ["wf_id"], order)
 
 
 @query("""SELECT repo, file_id FROM (SELECT repo, file_id, row_number() OVER (PARTITION BY repo ORDER BY file_id) AS n FROM workflow_json) WHERE n <= 2""")
@@ -268,7 +287,7 @@ def first_n_per_group(spark: SparkSession, d: str) -> DataFrame:
     return shape.first_n(table(spark, d, "workflow_json").select("repo", "file_id"), ["repo"], [F.col("file_id")], 2)
 
 
-@query("""SELECT wf_id, loaded_at, CASE WHEN n > 1 THEN concat_ws(' ', name, n) ELSE name END AS name FROM
+@query("""SELECT wf_id, loaded_at, CASE WHEN n > 1 AND name IS NOT NULL THEN concat_ws(' ', name, n) ELSE name END AS name FROM
           (SELECT wf_id, loaded_at, name, row_number() OVER (PARTITION BY name ORDER BY wf_id, loaded_at, last_indexed) AS n FROM workflows)""")
 def dedupe_suffix(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "workflows").select("wf_id", "loaded_at", "name", "last_indexed")
@@ -282,12 +301,20 @@ def retention_top_n(spark: SparkSession, d: str) -> DataFrame:
     return shape.keep_newest(rows, 10, [F.desc_nulls_last("updated_at"), F.desc("file_id")])
 
 
-@query("""SELECT event_id, lag(value) OVER w AS previous, rank() OVER (PARTITION BY user_id ORDER BY value) AS rank,
-                 ntile(4) OVER w AS quarter FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+@query("""SELECT event_id, lag(value) OVER w AS previous, lead(event_type, 2) OVER w AS after_next, rank() OVER v AS rank, dense_rank() OVER v AS dense_rank,
+                 ntile(4) OVER w AS quarter, first(event_type) OVER w AS opened_with, last(event_type) OVER u AS closed_with, nth_value(event_id, 2) OVER u AS second,
+                 count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS in_a_day FROM events
+          WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id), v AS (PARTITION BY user_id ORDER BY event_type),
+                 u AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
 def window_functions(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window
 
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    by_value = Window.partitionBy("user_id").orderBy("value")
-    columns = {"previous": F.lag("value").over(w), "rank": F.rank().over(by_value), "quarter": F.ntile(4).over(w)}
+    w, by_type = Window.partitionBy("user_id").orderBy("ts", "event_id"), Window.partitionBy("user_id").orderBy("event_type")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    columns = {
+        "previous": F.lag("value").over(w), "after_next": F.lead("event_type", 2).over(w), "rank": F.rank().over(by_type), "dense_rank": F.dense_rank().over(by_type),
+        "quarter": F.ntile(4).over(w), "opened_with": F.first("event_type").over(w), "closed_with": F.last("event_type").over(whole),
+        "second": F.nth_value("event_id", 2).over(whole),
+        "in_a_day": F.expr("count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '1' DAY PRECEDING AND CURRENT ROW)"),
+    }
     return table(spark, d, "events").withColumns(columns).select("event_id", *columns)

@@ -135,6 +135,13 @@ def session_windows(spark: SparkSession, d: str) -> DataFrame:
     return streams.session_windows(table(spark, d, "events"), "ts", ["user_id"], "2 hours")
 
 
+@query("""SELECT event_type, w AS window_start, count(*) AS n, round(sum(value), 4) AS total FROM (SELECT event_type, value,
+                 unnest(generate_series(time_bucket(INTERVAL 6 HOUR, ts) - INTERVAL 18 HOUR, time_bucket(INTERVAL 6 HOUR, ts), INTERVAL 6 HOUR)) AS w FROM events) GROUP BY ALL""")
+def sliding_counts(spark: SparkSession, d: str) -> DataFrame:
+    out = streams.tumbling_counts(table(spark, d, "events"), "ts", ["event_type"], "24 hours", "value", slide="6 hours")
+    return out.withColumn("total", F.round("total", 4))
+
+
 def _stream(spark, d, name="events"):
     return streams.file_stream(spark, d, table(spark, d, name).schema, pathGlobFilter=f"{name}.parquet")
 
@@ -142,26 +149,43 @@ def _stream(spark, d, name="events"):
 @query("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_counts(spark: SparkSession, d: str) -> DataFrame:
     counted = _stream(spark, d).groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    return streams.to_memory(counted, "sparvane_stream_counts", "complete")
+    return streams.to_table(counted, "stream-counts", "complete")
+
+
+@query("""SELECT event_type, time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")
+def stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
+    counted = streams.tumbling_counts(_stream(spark, d), "ts", ["event_type"], "1 day", "value")
+    return streams.to_table(counted, "stream-tumbling", "complete").withColumn("total", F.round("total", 4))
 
 
 @query("SELECT DISTINCT event_id FROM events")
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     rows = _stream(spark, d)
     twice = rows.union(rows).withColumn("ts", F.col("ts").cast("timestamp"))
-    return streams.to_memory(streams.stream_dedup(twice, ["event_id"], "ts", "60 days").select("event_id"), "sparvane_stream_dedup")
+    return streams.to_table(streams.stream_dedup(twice, ["event_id"], "ts", "60 days").select("event_id"), "stream-dedup")
 
 
-@query("SELECT event_id, user_id, value FROM events WHERE event_type = 'error'")
+@query("""SELECT run_id, test, error, coalesce(error LIKE 'timeout%', false) AS failed FROM timing""")
 def error_stream(spark: SparkSession, d: str) -> DataFrame:
-    failed = _stream(spark, d).where("event_type = 'error'").select("event_id", "user_id", "value")
-    return streams.to_memory(failed, "sparvane_error_stream")
+    """Both sides of the split, told apart by ``failed``."""
+    good, bad = streams.split_to_tables(_stream(spark, d, "timing").select("run_id", "test", "error"), F.col("error").startswith("timeout"), "error-stream")
+    return good.withColumn("failed", F.lit(False)).union(bad.withColumn("failed", F.lit(True)))
 
 
-@query("""SELECT run_id, loaded_at - run_at > INTERVAL 1 DAY AS late FROM timing WHERE run_at IS NOT NULL AND loaded_at IS NOT NULL""")
+_CUT, _LATE = "2024-07-01", 7
+
+
+@query(f"""WITH r AS (SELECT *, loaded_at >= TIMESTAMP '{_CUT}' AS second, time_bucket(INTERVAL 1 DAY, run_at) AS day FROM timing WHERE run_at IS NOT NULL AND loaded_at IS NOT NULL),
+          m AS (SELECT date_trunc('milliseconds', max(run_at) FILTER (WHERE NOT second)) - INTERVAL {_LATE} DAY AS w1, date_trunc('milliseconds', max(run_at)) - INTERVAL {_LATE} DAY AS w2 FROM r)
+          SELECT test, day AS window_start, count(*) AS n, round(sum(elapsed_ms), 4) AS total FROM r, m
+          WHERE day + INTERVAL 1 DAY <= w2 AND (NOT second OR day + INTERVAL 1 DAY > w1) GROUP BY ALL""")
 def late_drop(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "timing").where("run_at is not null and loaded_at is not null")
-    return rows.select("run_id", (F.col("loaded_at") - F.col("run_at") > F.expr("INTERVAL 1 DAY")).alias("late"))
+    """Daily windows over two deliveries, the second of which has rows whose window was closed after the first: those are dropped."""
+    rows = table(spark, d, "timing").where("run_at is not null and loaded_at is not null").select("test", F.col("run_at").cast("timestamp").alias("run_at"), "elapsed_ms", "loaded_at")
+    second = F.col("loaded_at") >= F.lit(_CUT).cast("timestamp_ntz")
+    deliveries = [rows.where(c).drop("loaded_at") for c in (~second, second)]
+    out = streams.deliver(deliveries, lambda s: streams.tumbling_counts(s, "run_at", ["test"], "1 day", "elapsed_ms", late=f"{_LATE} days"), "late-drop")
+    return out.select("test", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", F.round("total", 4).alias("total"))
 
 
 @query(f"""SELECT query_id, id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY label, id) AS n FROM
@@ -183,9 +207,3 @@ def run_summary(spark: SparkSession, d: str) -> DataFrame:
 def percentiles(spark: SparkSession, d: str) -> DataFrame:
     at = lambda p: F.round(F.percentile("value", F.lit(p)), 6)
     return table(spark, d, "events").groupBy("event_type").agg(at(0.5).alias("median"), at(0.95).alias("p95"))
-
-
-@query("""SELECT event_type, user_id, count(*) AS n FROM events GROUP BY GROUPING SETS ((event_type), (user_id), ())""")
-def grouping_sets(spark: SparkSession, d: str) -> DataFrame:
-    table(spark, d, "events").createOrReplaceTempView("sparvane_events")
-    return spark.sql("SELECT event_type, user_id, count(*) AS n FROM sparvane_events GROUP BY GROUPING SETS ((event_type), (user_id), ())")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
+from ..runtime import shared_dir
 
-def file_stream(spark: SparkSession, path: str, schema, kind: str = "parquet", files_per_trigger: int = 100, **options: str) -> DataFrame:
-    """New files of a folder as a stream (files, feeds, sheets and mail drops alike)."""
-    return spark.readStream.format(kind).schema(schema).option("maxFilesPerTrigger", files_per_trigger).options(**options).load(path)
+
+def file_stream(spark: SparkSession, path: str, schema, kind: str = "parquet", files_per_trigger: int | None = 100, **options: str) -> DataFrame:
+    """New files of a folder as a stream (files, feeds, sheets and mail drops alike); without a number, all at once."""
+    limit = {"maxFilesPerTrigger": str(files_per_trigger)} if files_per_trigger else {}
+    return spark.readStream.format(kind).schema(schema).options(**limit, **options).load(path)
 
 
 def broker_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
@@ -53,11 +57,53 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     return query
 
 
-def to_memory(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """The stream's whole output as a table, for responses and tests of bounded input."""
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+def _folder(spark: SparkSession, label: str) -> str:
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:8]}"
+
+
+def to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
+    """What the stream gives from all that has arrived, as a table in the shared folder, with its checkpoint beside it.
+
+    In mode ``complete`` every micro-batch writes the whole result anew; the last one counts.
+    """
+    at = _folder(stream.sparkSession, label)
+    if mode == "append":
+        run_available(stream, f"{at}/rows", f"{at}/checkpoint")
+        return stream.sparkSession.read.schema(stream.schema).parquet(f"{at}/rows")
+    last = []
+
+    def whole(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{at}/v{number}")  # a batch that is tried again replaces its own
+        last[:] = [number]
+
+    query = stream.writeStream.foreachBatch(whole).outputMode(mode).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    return stream.sparkSession.read.schema(stream.schema).parquet(*[f"{at}/v{n}" for n in last])
+
+
+def deliver(deliveries: list[DataFrame], steps: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """Deliveries that arrive one after the other, each run through ``steps`` when it is there; the rows given out, as a table.
+
+    State and watermark go on from one to the next by the checkpoint, so rows too late for a window that was
+    closed after an earlier delivery are dropped, and windows still open at the end are not given out.
+    """
+    spark, at = deliveries[0].sparkSession, _folder(deliveries[0].sparkSession, label)
+    for rows in deliveries:
+        rows.write.mode("append").parquet(f"{at}/arrived")
+        out = steps(file_stream(spark, f"{at}/arrived", rows.schema, files_per_trigger=None))
+        run_available(out, f"{at}/rows", f"{at}/checkpoint")
+    return spark.read.schema(out.schema).parquet(f"{at}/rows")
+
+
+def split_to_tables(stream: DataFrame, is_error, label: str) -> tuple[DataFrame, DataFrame]:
+    """``split_errors`` into two tables in the shared folder: the good rows and the others."""
+    at, spark = _folder(stream.sparkSession, label), stream.sparkSession
+
+    def write(kind):
+        return lambda batch, number: batch.write.mode("overwrite").parquet(f"{at}/{kind}/batch={number}")
+
+    split_errors(stream, is_error, write("good"), write("bad"), f"{at}/checkpoint")
+    return tuple(spark.read.schema(stream.schema).parquet(f"{at}/{kind}").select(*stream.columns) for kind in ("good", "bad"))
 
 
 def split_errors(stream: DataFrame, is_error, good: Callable[[DataFrame, int], None], bad: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:

@@ -207,5 +207,5 @@ def test_url_parts_of_every_url(spark, tmp_path):
     want = [("https", "a.example", "/b/c", "x=1&y=2"), ("HTTP", "A.example", "/B", "q"), ("ftp", "a.example", "", None), ("https", "a.example", "/b", None), (None,) * 4]
     nodes = [{"parameters": {"url": u}} for u in urls]
     spark.createDataFrame([(1, nodes)], "file_id long, nodes array<struct<parameters:map<string,string>>>").write.parquet(f"{tmp_path}/workflow_json.parquet")
-    got = sorted((tuple(r) for r in registry.queries()["url_parts_all"](spark, str(tmp_path)).collect()), key=lambda r: r[1])
+    got = sorted((tuple(r) for r in registry.queries()["url_parts"](spark, str(tmp_path)).collect()), key=lambda r: r[1])
     assert got == [(1, k, *w) for k, w in enumerate(want)]

@@ -79,7 +79,7 @@ def test_stream_dedup_errors_and_upserts(spark, tmp_path):
     frame = events(spark, [1, 2, 3])
     frame.union(frame).coalesce(1).write.parquet(source)
     stream = lambda: streams.file_stream(spark, source, frame.schema)
-    once = streams.to_memory(streams.stream_dedup(stream(), ["id"], "ts", "1 hour").select("id"), "once")
+    once = streams.to_table(streams.stream_dedup(stream(), ["id"], "ts", "1 hour").select("id"), "once")
     assert sorted(r["id"] for r in once.collect()) == [0, 1, 2]
     good, bad, latest = [], [], []
     streams.split_errors(stream(), F.col("value") > 2, lambda b, n: good.extend(b.collect()), lambda b, n: bad.extend(b.collect()), str(tmp_path / "e"))
