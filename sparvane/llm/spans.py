@@ -28,8 +28,9 @@ from ..runtime import materialize
 
 LENGTH = 240
 GRAM = 96
-#: Anchors with more occurrences than this are not grouped; the windows around them are counted instead.
-CROWDED = 2000
+#: What the arrays of one anchor's group may take. A group is compared in one task; the windows around an
+#: anchor with more occurrences are counted instead, which is as exact, takes more shuffle and no group.
+GROUP_BYTES = 8_000_000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
@@ -321,6 +322,8 @@ class SharedSpans:
         if not 1 <= gram <= length <= _BLOCK // 4 or length - gram > 254:
             raise ValueError("need gram <= length, and length - gram at most 254")
         self.length, self.gram, self.around = length, gram, length - gram
+        # Per row a code point (4 bytes) and a running hash (8) for each character on both sides.
+        self.most = max(1, GROUP_BYTES // (2 * 12 * (self.around + 1)))
         docs = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text")).where(F.char_length("text") >= length)
         self.classes = materialize(text_classes(docs, length, "text", "doc"), "span-classes")
         # Of each class one text takes part; the others' ids are few or the planner shuffles both sides.
@@ -334,7 +337,7 @@ class SharedSpans:
             self.docs.select("doc", "text").mapInArrow(_anchor_rows(self.gram, w), "anchor long, doc long, at long"), "span-anchors"
         )
         shared = anchors.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("n"))
-        shared = materialize(shared.where("least < most").select("anchor", (F.col("n") > CROWDED).alias("crowded")), "span-shared")
+        shared = materialize(shared.where("least < most").select("anchor", (F.col("n") > self.most).alias("crowded")), "span-shared")
 
         def texts(which: str) -> DataFrame:
             seeds = anchors.join(shared.where(which).select("anchor"), "anchor")

@@ -42,9 +42,9 @@ def brute(rows):
     return pairs, {i: len(c) for i, c in covered.items()}
 
 
-@pytest.mark.parametrize("crowded", [spans.CROWDED, 3])
+@pytest.mark.parametrize("crowded", [spans.GROUP_BYTES, 3 * 24 * 145])
 def test_pairs_and_shares(spark, monkeypatch, crowded):
-    monkeypatch.setattr(spans, "CROWDED", crowded)
+    monkeypatch.setattr(spans, "GROUP_BYTES", crowded)
     rows = texts(7)
     frame = spark.createDataFrame([(i, t, 1, "c") for i, t in rows], "doc_id long, text string, doc int, `left` string").repartition(3)
     shared = spans.SharedSpans(frame, LENGTH, GRAM)
