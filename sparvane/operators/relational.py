@@ -123,11 +123,32 @@ def range_join(points: DataFrame, ranges: DataFrame, point: str, start: str, end
     return joined.where((F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))).drop("_bucket")
 
 
+#: Rows in a slice of an ordered table; what crosses from one slice to the next is carried over.
+SLICE_ROWS = 200_000
+
+
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], time: str, values: list[str]) -> DataFrame:
-    """Each left row with the ``values`` of the last right row at or before its time; one sort per key."""
+    """Each left row with the ``values`` of the last right row at or before its time; null keys match null keys.
+
+    Both sides are put into one order and cut into slices of ``SLICE_ROWS``, so a key that most rows have fills
+    many tasks. The last value of each key in a slice is carried to the key's next slices.
+    """
+    spare = _spare(left, "_v", "_side", "_p", "_slice", "_carried")
+    v, side, place, piece, carried = spare
+    kept = right.select(F.struct(*values)).schema[0].dataType
     nulls = [F.lit(None).cast(t).alias(c) for c, t in left.dtypes if c not in (*by, time)]
-    a = left.select(*left.columns, F.lit(None).cast(right.select(F.struct(*values)).schema[0].dataType).alias("_v"), F.lit(1).alias("_side"))
-    b = right.select(*by, time, F.struct(*values).alias("_v"), F.lit(0).alias("_side"), *nulls)
-    upto = Window.partitionBy(*by).orderBy(time, "_side").rowsBetween(Window.unboundedPreceding, 0)
-    both = a.unionByName(b).withColumn("_v", F.last("_v", ignorenulls=True).over(upto))
-    return both.where("_side = 1").select(*left.columns, "_v.*")
+    a = left.select(*left.columns, F.lit(None).cast(kept).alias(v), F.lit(1).alias(side))
+    b = right.select(*by, time, F.struct(*values).alias(v), F.lit(0).alias(side), *nulls)
+    both = with_position(a.unionByName(b), [*map(F.col, by), F.col(time), F.col(side)], place)
+    both = both.withColumn(piece, F.floor(F.col(place) / SLICE_ROWS))
+    upto = Window.partitionBy(piece, *by).orderBy(place).rowsBetween(Window.unboundedPreceding, 0)
+    # A row per key and slice: as many as a key's rows over SLICE_ROWS, and one more.
+    ends = both.where(F.col(v).isNotNull()).groupBy(piece, *by).agg(F.max_by(v, place).alias(carried))
+    here = both.select(piece, *by).distinct().withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(by)}).withColumnRenamed(piece, "_to")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)], F.lit(True))
+    steps = here.join(ends, same & (F.col("_to") == F.col(piece)), "left").select("_to", *[f"_k{i}" for i in range(len(by))], carried)
+    before = Window.partitionBy(*[f"_k{i}" for i in range(len(by))]).orderBy("_to").rowsBetween(Window.unboundedPreceding, -1)
+    steps = steps.withColumn(carried, F.last(carried, ignorenulls=True).over(before)).where(F.col(carried).isNotNull())
+    found = both.withColumn(v, F.last(v, ignorenulls=True).over(upto)).where(F.col(side) == 1)
+    joined = found.join(steps, same & (F.col("_to") == F.col(piece)), "left")
+    return joined.withColumn(v, F.coalesce(v, carried)).select(*left.columns, f"{v}.*")

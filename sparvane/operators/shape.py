@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .relational import with_position
+from .relational import SLICE_ROWS, _spare, with_position
 
 
 def split_out(df: DataFrame, field: str, keep_empty: bool = False, position: str | None = None) -> DataFrame:
@@ -133,7 +134,10 @@ def item_lists(df: DataFrame, operation: str, **options) -> DataFrame:
 
 
 def last_k(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
-    """The last ``k`` rows per group: a conversation's memory window."""
+    """The last ``k`` rows per group: a conversation's memory window.
+
+    Tasks keep at most ``k`` rows per group before the shuffle, so a group that most rows have is no burden.
+    """
     newest = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= k).drop("_n")
 
@@ -142,15 +146,34 @@ first_n = last_k
 
 
 def rolling_list(df: DataFrame, by: list[str], order: list[Column], field: str, k: int, name: str = "window") -> DataFrame:
-    """With each row, its group's last ``k`` values of ``field`` up to and with its own, in order."""
-    frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(-(k - 1), 0)
-    return df.withColumn(name, F.collect_list(field).over(frame))
+    """With each row, its group's last ``k`` values of ``field`` up to and with its own, in order; nulls are left out.
+
+    The ordered table is cut into slices, each with the ``k - 1`` rows before it, so no task has a whole group to order.
+    """
+    place, piece, more = _spare(df, "_p", "_slice", "_more")
+    size = max(SLICE_ROWS, k)
+    rows = with_position(df, [*map(F.col, by), *order], place)
+    own = F.floor(F.col(place) / size)
+    next_too = F.when(F.col(place) % size >= size - (k - 1), F.array(own, own + 1)).otherwise(F.array(own))
+    spread = rows.withColumn(piece, F.explode(next_too)).withColumn(more, F.col(piece) != own)
+    frame = Window.partitionBy(piece, *by).orderBy(place).rowsBetween(-(k - 1), 0)
+    return spread.withColumn(name, F.collect_list(field).over(frame)).where(~F.col(more)).drop(place, piece, more)
 
 
 def dedupe_suffix(df: DataFrame, column: str, order: list[Column], within: list[str] | None = None) -> DataFrame:
-    """Unique names: the second and later rows of a name get `` 2``, `` 3``, ..."""
-    n = F.row_number().over(Window.partitionBy(*(within or []), column).orderBy(*order))
-    return df.withColumn("_n", n).withColumn(column, F.when(F.col("_n") > 1, F.concat_ws(" ", column, F.col("_n"))).otherwise(F.col(column))).drop("_n")
+    """Unique names: the second and later rows of a name get `` 2``, `` 3``, ...; nulls stay null.
+
+    A row's number is its position less that of its name's first row in one order of all rows, so a name that most
+    rows have is spread over many tasks.
+    """
+    place, first = _spare(df, "_p", "_first")
+    keys = [*(within or []), column]
+    rows = with_position(df, [*map(F.col, keys), *order], place)
+    firsts = rows.groupBy(*keys).agg(F.min(place).alias(first)).withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(keys)})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
+    n = F.col(place) - F.col(first) + 1
+    named = F.when((n > 1) & F.col(column).isNotNull(), F.concat_ws(" ", column, n)).otherwise(F.col(column))
+    return rows.join(firsts, same).withColumn(column, named).select(*df.columns)
 
 
 def keep_newest(df: DataFrame, n: int, order: list[Column]) -> DataFrame:

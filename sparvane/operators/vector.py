@@ -9,8 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Query vectors sent to the tasks at once; more queries are searched in blocks of this size.
-QUERY_BLOCK = 65_536
+from ..runtime import materialize
+
+#: Bytes of vectors that make a block, of queries and of rows to search.
+QUERY_BYTES, ROW_BYTES = 2_000_000, 8_000_000
+#: Best rows a task holds over all query blocks before it gives them out.
+_HELD = 4_000_000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -31,61 +35,89 @@ def _matrix(column: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
     return flat[some] / norm[some, None], keep[some]
 
 
-def _search(shipped, k: int, step: int = 2048):
+def _packed(rows: DataFrame, dims: int, size: int, label: str) -> DataFrame:
+    """``(id, vector)`` rows to ``(number, ids, matrix)``: blocks of unit vectors as they lie; vectors without direction are left out."""
+    most = max(1, size // (8 * max(dims, 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def block(some):
+            ids, matrix = np.concatenate([x for x, _ in some]), np.concatenate([y for _, y in some])
+            columns = [pa.array([int(ids[0])]), pa.array([ids], pa.list_(pa.int64())), pa.array([matrix.tobytes()], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["number", "ids", "matrix"])
+
+        for batch in batches:
+            matrix, keep = _matrix(batch.column(1), dims)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)[keep]
+            for at in range(0, len(ids), most):
+                held.append((ids[at : at + most], matrix[at : at + most]))
+                if sum(len(x) for x, _ in held) >= most:
+                    yield block(held)
+                    held = []
+        if held:
+            yield block(held)
+
+    return rows.mapInArrow(run, f"{label} long, {label}_ids array<long>, {label}_matrix binary")
+
+
+def _search(dims: int, k: int, step: int = 1024):
+    """Pairs of a block of rows and a block of queries to the best ``k`` rows of each query."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, queries = shipped.value
-        held: list[tuple[np.ndarray, np.ndarray]] | None = None
+        held: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+        def given():
+            for queries, best, who in held.values():
+                own, fine = np.repeat(queries, best.shape[1]), np.isfinite(best.ravel())
+                yield pa.RecordBatch.from_arrays([pa.array(own[fine]), pa.array(who.ravel()[fine]), pa.array(best.ravel()[fine])], names=["query_id", "id", "score"])
+            held.clear()
+
         for batch in batches:
-            base, rows = _matrix(batch.column(1), queries.shape[1])
-            ids = batch.column(0).to_numpy(zero_copy_only=False)[rows]
-            if not len(ids):
-                continue
-            held = held or [(np.empty((len(queries[at : at + step]), 0)), np.empty((len(queries[at : at + step]), 0), np.int64)) for at in range(0, len(queries), step)]
-            for b, at in enumerate(range(0, len(queries), step)):
-                scores = queries[at : at + step] @ base.T
-                scores[query_ids[at : at + step, None] == ids] = -np.inf  # not with itself
-                best, who = held[b]
-                scores, names = np.concatenate([best, scores], axis=1), np.concatenate([who, np.broadcast_to(ids, scores.shape)], axis=1)
-                # By falling score, then rising id: the same in every partitioning.
-                order = np.lexsort((names, -np.round(scores, 12)), axis=1)[:, :k]
-                held[b] = np.take_along_axis(scores, order, 1), np.take_along_axis(names, order, 1)
-        for b, (best, who) in enumerate(held or []):
-            own = np.repeat(query_ids[b * step : b * step + len(best)], best.shape[1])
-            fine = np.isfinite(best.ravel())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own[fine]), pa.array(who.ravel()[fine]), pa.array(best.ravel()[fine])], names=["query_id", "id", "score"]
-            )
+            for number, query_ids, queries, ids, rows in zip(*(batch.column(c).to_pylist() for c in ("q", "q_ids", "q_matrix", "r_ids", "r_matrix"))):
+                query_ids, ids = np.array(query_ids), np.array(ids)
+                queries, rows = (np.frombuffer(x, np.float64).reshape(-1, dims) for x in (queries, rows))
+                if number not in held:
+                    held[number] = query_ids, np.empty((len(query_ids), 0)), np.empty((len(query_ids), 0), np.int64)
+                _, best, who = held[number]
+                found, names = [], []
+                for at in range(0, len(query_ids), step):
+                    scores = queries[at : at + step] @ rows.T
+                    scores[query_ids[at : at + step, None] == ids] = -np.inf  # not with itself
+                    scores = np.concatenate([best[at : at + step], scores], axis=1)
+                    near = np.concatenate([who[at : at + step], np.broadcast_to(ids, (len(scores), len(ids)))], axis=1)
+                    # By falling score, then rising id: the same in every partitioning.
+                    order = np.lexsort((near, -np.round(scores, 12)), axis=1)[:, :k]
+                    found.append(np.take_along_axis(scores, order, 1))
+                    names.append(np.take_along_axis(near, order, 1))
+                held[number] = query_ids, np.concatenate(found), np.concatenate(names)
+                if sum(x.size for _, x, _ in held.values()) > _HELD:
+                    yield from given()
+        yield from given()
 
     return run
 
 
+def _dims(rows: DataFrame) -> int:
+    return rows.agg(F.max(F.size("v"))).first()[0] or 0
+
+
 def top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``(query_id, id, score, rank)``: the ``k`` rows of ``base`` nearest each query by cosine, exactly.
 
-    Every query meets every row: queries go out in blocks of bounded size, each task keeps its best
-    ``k`` per query, and those are merged. A query is not its own neighbour. Ties go to the smaller id.
+    A stated query set against all rows, in blocks: every block of queries meets every block of rows, a
+    task keeps its best ``k`` per query, and those are merged. Nothing passes through the driver, and query
+    blocks are broadcast only if the planner finds their table small. A query is not its own neighbour. Ties
+    go to the smaller id.
     """
-    spark = base.sparkSession
     wanted = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("v")).where(F.size("v") > 0)
-    dims = wanted.agg(F.max(F.size("v"))).first()[0]
-    schema = "query_id long, id long, score double"
-    out = spark.createDataFrame([], schema)
-    rows = base.select(F.col(id_col).cast("long"), vector)
-    block: list = []
-
-    def search(block):
-        table = pa.array([r["v"] for r in block], pa.list_(pa.float32()))
-        matrix, keep = _matrix(table, dims)
-        return rows.mapInArrow(_search(spark.sparkContext.broadcast((np.array([r["id"] for r in block])[keep], matrix)), k), schema)
-
-    for row in wanted.toLocalIterator():  # one partition of queries at a time
-        block.append(row)
-        if len(block) == QUERY_BLOCK:
-            out, block = out.union(search(block)), []
-    if block:
-        out = out.union(search(block))
+    dims = _dims(wanted)
+    rows = _packed(base.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("v")), dims, ROW_BYTES, "r")
+    blocks = materialize(_packed(wanted, dims, QUERY_BYTES, "q"), "query-blocks")
+    pairs = rows.drop("r").crossJoin(blocks)
+    found = pairs.mapInArrow(_search(dims, k), "query_id long, id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 12)), "id")
-    return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def centroid(df: DataFrame, by: list[str], vector: str = "embedding") -> DataFrame:
@@ -108,11 +140,20 @@ def knn_classify(base: DataFrame, queries: DataFrame, k: int, label: str = "labe
 
 
 def centroid_distance(df: DataFrame, by: str, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``(id, distance)``: the Euclidean distance of each row to the nearest centroid of ``by`` (few groups)."""
-    centers = F.broadcast(centroid_vectors(df, [by], vector).agg(F.collect_list("centroid").alias("_c")))  # one row, of the groups' size
+    """``(id, distance)``: the Euclidean distance of each row to the nearest centroid of ``by``; null for a null vector.
+
+    Centroids are a written table of blocks, as many as there are groups; every row meets every block.
+    """
+    centers = centroid_vectors(df, [by], vector).select(F.col("centroid").alias("v"))
+    size = max(1, QUERY_BYTES // (8 * max(_dims(df.select(F.col(vector).alias("v"))), 1)))
+    blocks = centers.withColumn("_b", F.floor(F.rand(7) * F.ceil(F.lit(1.0) * centers.count() / size)))
+    blocks = materialize(blocks.groupBy("_b").agg(F.collect_list("v").alias("_c")), "centroid-blocks")
+
     def gap(c):
         return F.sqrt(F.aggregate(F.zip_with(F.col(vector), c, lambda x, y: F.pow(x.cast("double") - y, 2)), F.lit(0.0), lambda s, x: s + x))
-    return df.crossJoin(centers).select(id_col, F.array_min(F.transform("_c", gap)).alias("distance"))
+
+    near = df.crossJoin(blocks.select("_c")).select(id_col, F.array_min(F.transform("_c", gap)).alias("distance"))
+    return near.groupBy(id_col).agg(F.min("distance").alias("distance"))
 
 
 def embed_hashed(text: Column, dims: int = 64) -> Column:

@@ -1,7 +1,9 @@
 """The general operators on small frames: nulls, ties, repeated rows, empty inputs, and some laws."""
 
 import datetime as dt
+import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -209,3 +211,44 @@ def test_url_parts_of_every_url(spark, tmp_path):
     spark.createDataFrame([(1, nodes)], "file_id long, nodes array<struct<parameters:map<string,string>>>").write.parquet(f"{tmp_path}/workflow_json.parquet")
     got = sorted((tuple(r) for r in registry.queries()["url_parts"](spark, str(tmp_path)).collect()), key=lambda r: r[1])
     assert got == [(1, k, *w) for k, w in enumerate(want)]
+
+
+def test_windows_over_slices(spark, monkeypatch):
+    """As-of, rolling lists and suffixes with one hot key, cut into slices of a few rows, against plain Python."""
+    monkeypatch.setattr(relational, "SLICE_ROWS", 7)
+    monkeypatch.setattr(shape, "SLICE_ROWS", 7)
+    rnd = random.Random(3)
+    key = lambda: rnd.choice(["hot"] * 8 + ["b", "c", None])
+    left = [(key(), rnd.randrange(60), k) for k in range(90)]
+    right = [(b, t, f"v{k}") for k, (b, t) in enumerate({(key(), rnd.randrange(60)) for _ in range(25)})] + [("hot", 30, None)]
+    a, b = spark.createDataFrame(left, "by string, t int, id int"), spark.createDataFrame(right, "by string, t int, v string")
+    b = b.where("t != 30 or v is null")
+    at = {(x["by"], x["t"]): x["v"] for x in b.collect()}
+    want = {i: at[max(k for k in at if k[0] == by and k[1] <= t)] if any(k[0] == by and k[1] <= t for k in at) else None for by, t, i in left}
+    got = relational.asof_join(a, b, ["by"], "t", ["v"])
+    assert got.columns == ["by", "t", "id", "v"] and {r["id"]: r["v"] for r in got.collect()} == want
+    ordered = sorted(left, key=lambda r: (r[0] or "", r[1], r[2]))
+    rolled = {r["id"]: r["window"] for r in shape.rolling_list(a, ["by"], [F.col("t"), F.col("id")], "id", 4).collect()}
+    named = {r["id"]: r["by"] for r in shape.dedupe_suffix(a, "by", [F.col("t"), F.col("id")]).collect()}
+    for name in ("hot", "b", "c", None):
+        own = [i for by, _, i in ordered if by == name]
+        assert all(rolled[i] == own[max(0, k - 3) : k + 1] for k, i in enumerate(own))
+        assert all(named[i] == (name if name is None or k == 0 else f"{name} {k + 1}") for k, i in enumerate(own))
+
+
+def test_vectors_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vector, "QUERY_BYTES", 3 * 8 * 4)
+    monkeypatch.setattr(vector, "ROW_BYTES", 5 * 8 * 4)
+    monkeypatch.setattr(vector, "_HELD", 20)
+    rnd = np.random.default_rng(1)
+    rows = [(k, rnd.normal(size=4).round(2).tolist(), k % 3) for k in range(60)] + [(90, None, 0), (91, [], 1), (92, [0.0] * 4, 2), (93, [1.0], 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    units = {i: np.array(v, np.float32).astype(float) / np.linalg.norm(np.array(v, np.float32).astype(float)) for i, v, _ in rows[:60]}
+    got = {}
+    for r in vector.top_k(frame, frame.where("vec_id < 20"), 4).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["id"]
+    assert got == {q: dict(enumerate(sorted((i for i in units if i != q), key=lambda i: (-round(float(units[q] @ units[i]), 12), i))[:4], 1)) for q in range(20)}
+    assert vector.top_k(frame, frame.limit(0), 4).count() == 0 and vector.top_k(frame.limit(0), frame, 4).count() == 0
+    near = {r["vec_id"]: r["distance"] for r in vector.centroid_distance(frame.where("vec_id < 60"), "label").collect()}
+    centers = [np.mean([np.array(v, np.float32) for _, v, x in rows[:60] if x == label], axis=0) for label in range(3)]
+    assert all(abs(near[i] - min(np.linalg.norm(np.array(v) - c) for c in centers)) < 1e-5 for i, v, _ in rows[:60])
