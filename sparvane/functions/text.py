@@ -73,6 +73,25 @@ def chunk_words(text: Column, size: int, overlap: int = 0) -> Column:
     ).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
+#: What counts as a token where no vocabulary is given: words, numbers, single marks.
+TOKEN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]"
+
+
+def chunk_tokens(text: Column, size: int, overlap: int = 0, token: str = TOKEN) -> Column:
+    """Chunks of ``size`` tokens, each beginning ``size - overlap`` after the one before; the text between tokens is kept.
+
+    White space belongs to the token that follows it; what follows the last token is left out. Null gives null, a text
+    without tokens no chunk. All JVM-side; ``token`` is any pattern, such as that of a public tokenizer's words.
+    """
+    if not 0 <= overlap < size:
+        raise ValueError("overlap must be at least 0 and below size")
+    step = size - overlap
+    pieces = F.regexp_extract_all(text, F.lit(rf"\s*(?:{token})"), F.lit(0))
+    last = F.floor(F.greatest(F.size(pieces) - overlap - 1, F.lit(0)) / step)
+    chunks = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda k: F.array_join(F.slice(pieces, (k * step + 1).cast("int"), F.lit(size)), ""))
+    return F.when(F.size(pieces) > 0, chunks).when(text.isNotNull(), F.array().cast("array<string>"))
+
+
 class _Page(HTMLParser):
     _HIDDEN = {"script", "style", "template", "noscript"}
     _BREAKS = {"p", "div", "br", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "table", "ul", "ol"}
@@ -254,6 +273,26 @@ def replace_credentials(parameters: Column, fields: list[str]) -> Column:
     )
 
 
+def replace_urls(parameters: Column, variables: dict[str, str]) -> Column:
+    """Values that begin with a known address begin with a reference to its environment variable instead; the longest address counts."""
+    def one(value):
+        out = value
+        for address, name in sorted(variables.items(), key=lambda x: len(x[0])):
+            rest = F.substring(value, F.lit(len(address) + 1), F.length(value))
+            out = F.when(value.startswith(address), F.concat(F.lit("{{ $env." + name + " }}"), rest)).otherwise(out)
+        return out
+
+    return F.transform_values(parameters, lambda k, v: one(v))
+
+
+def xml_to_json(text: Column, schema: str) -> Column:
+    return F.to_json(F.from_xml(text, schema))
+
+
+def json_to_xml(text: Column, schema: str, row_tag: str = "row") -> Column:
+    return F.to_xml(F.from_json(text, schema), {"rowTag": row_tag})
+
+
 def brand_match(text: Column, brand: str, never: list[str] | None = None) -> Column:
     """Whether a brand's name occurs, though not as the beginning of one of ``never``."""
     ahead = "".join(f"(?!{re.escape(n)})" for n in never or [])

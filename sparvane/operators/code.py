@@ -56,3 +56,31 @@ def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Ob
     """The same rows, and figures about them that are there once an action has run."""
     observation = Observation(name)
     return df.observe(observation, *[c.alias(n) for n, c in metrics.items()]), observation
+
+
+#: Workflows that others may call, by name.
+_WORKFLOWS: dict[str, Callable[..., DataFrame]] = {}
+_RUNNING: list[str] = []
+
+
+def workflow(name: str) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+    """Registers a function of frames as a workflow."""
+
+    def add(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        _WORKFLOWS[name] = f
+        return f
+
+    return add
+
+
+def call_workflow(name: str, *inputs: DataFrame, **options) -> DataFrame:
+    """The frame that another workflow makes of the inputs; its plan becomes part of the caller's. A workflow may not call itself."""
+    if name not in _WORKFLOWS:
+        raise KeyError(f"no workflow is named {name!r}")
+    if name in _RUNNING:
+        raise RecursionError(" -> ".join([*_RUNNING, name]))
+    _RUNNING.append(name)
+    try:
+        return _WORKFLOWS[name](*inputs, **options)
+    finally:
+        _RUNNING.pop()

@@ -79,3 +79,13 @@ def run_summary(records: DataFrame, failures: DataFrame) -> DataFrame:
     counted = records.groupBy("source").agg(F.count("*").alias("n_records"))
     failed = failures.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("error")), "; ").alias("errors"))
     return counted.join(failed, "source", "full_outer").select("source", F.coalesce("n_records", F.lit(0)).alias("n_records"), "errors")
+
+
+def build_digest(records: DataFrame, companies: DataFrame, rules: list[tuple[str, list[str]]], date: str, id_col: str = "id", text: str = "summary") -> tuple[DataFrame, DataFrame]:
+    """Both ends of the pipeline for records with ``title, summary, url, source, publish_date``: the counts, and the date's digest as text and HTML.
+
+    A record that names several companies is listed under each, one that names none under none.
+    """
+    named = match_companies(records, companies, id_col, text)
+    rows = records.withColumn("category", classify(F.col(text), rules)).join(named, id_col, "left")
+    return digest_counts(rows), render_text(rows, date)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import codes, text
+from ..functions import arithmetic, codes, text
 from ..operators import catalog, search
 from ..runtime import table
 from .registry import query
@@ -207,8 +207,20 @@ def json_extract(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")
 def xml_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "customer").select("c_custkey", F.to_xml(F.struct("c_name", "c_acctbal")).alias("x"))
-    return rows.select("c_custkey", F.from_xml("x", "c_name string, c_acctbal double").alias("r")).select("c_custkey", "r.*")
+    """From JSON to XML and back."""
+    layout = "c_name string, c_acctbal double"
+    rows = table(spark, d, "customer").select("c_custkey", F.to_json(F.struct("c_name", "c_acctbal")).alias("j"))
+    rows = rows.select("c_custkey", text.xml_to_json(text.json_to_xml(F.col("j"), layout), layout).alias("j"))
+    return rows.select("c_custkey", F.from_json("j", layout).alias("r")).select("c_custkey", "r.*")
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_quantity * -(l_linenumber + 0.5::DOUBLE) + l_suppkey) / 4 AS result, l_quantity / nullif(l_linenumber - 1, 0) AS divided FROM lineitem""")
+def calculate(spark: SparkSession, d: str) -> DataFrame:
+    """Arithmetic put together as text from the columns."""
+    rows = table(spark, d, "lineitem")
+    one = F.format_string("(%s * -(%s + 0.5) + %s) / 2^2", F.col("l_quantity").cast("string"), "l_linenumber", "l_suppkey")
+    two = F.format_string("%s / (%s - 1)", F.col("l_quantity").cast("string"), "l_linenumber")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", arithmetic.calculate(one).alias("result"), arithmetic.calculate(two).alias("divided"))
 
 
 _MASKED = "text"

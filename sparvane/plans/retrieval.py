@@ -44,6 +44,13 @@ def chunk_recursive(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", F.posexplode("c").alias("pos", "chunk"))
 
 
+@query(r"""SELECT doc_id, k AS pos, array_to_string(t[k * 90 + 1 : k * 90 + 100], '') AS chunk FROM (SELECT doc_id, t, unnest(range(0, greatest(len(t) - 11, 0) // 90 + 1)) AS k FROM
+           (SELECT doc_id, regexp_extract_all(text, '[\s\x0b]*(?:\p{L}+|\p{N}+|[^\s\x0b\p{L}\p{N}])') AS t FROM documents) WHERE len(t) > 0)""")
+def chunk_tokens(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select("doc_id", text.chunk_tokens(F.col("text"), 100, 10).alias("c"))
+    return rows.select("doc_id", F.posexplode("c").alias("pos", "chunk"))
+
+
 _NEAR = """(SELECT q.vec_id AS query_id, b.vec_id AS id, b.label,
                    list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS score
             FROM embeddings q JOIN embeddings b ON q.vec_id % 50 = 0 AND q.vec_id <> b.vec_id)"""

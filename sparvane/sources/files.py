@@ -49,6 +49,12 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("xml").option("rowTag", "item").schema(schema).load(path)
 
 
+def read_sitemap(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """``(loc, lastmod)`` of sitemap files, of the addresses that match ``pattern``."""
+    rows = spark.read.format("xml").option("rowTag", "url").schema("loc string, lastmod string").load(path)
+    return rows.where(F.col("loc").rlike(pattern)) if pattern else rows
+
+
 def read_table(spark: SparkSession, url: str, query: str, partition: tuple[str, int, int, int] | None = None, **options: str) -> DataFrame:
     """A database query over JDBC; ``partition`` is (column, lower, upper, number of parallel reads)."""
     reader = spark.read.format("jdbc").option("url", url).options(**options)

@@ -57,6 +57,18 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     return query
 
 
+def run_every(stream: DataFrame, path: str, checkpoint: str, interval: str, mode: str = "append", kind: str = "parquet") -> StreamingQuery:
+    """A stream on a schedule, such as ``5 minutes``, until it is stopped; after a restart it goes on from its checkpoint."""
+    return stream.writeStream.format(kind).outputMode(mode).option("checkpointLocation", checkpoint).trigger(processingTime=interval).start(path)
+
+
+def to_broker(stream: DataFrame, servers: str, topic: str, checkpoint: str, key: str | None = None) -> StreamingQuery:
+    """Rows as JSON messages to a topic, keyed by a column; needs the Kafka connector on the class path."""
+    rows = stream.select(*([F.col(key).cast("string").alias("key")] if key else []), F.to_json(F.struct("*")).alias("value"))
+    sink = rows.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+    return sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def _folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:8]}"
 
