@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import chain
 
@@ -318,11 +319,16 @@ class NearDuplicates:
     """
 
     def __init__(self, sources: list[tuple[str, DataFrame, tuple]], threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS):
-        self.threshold, self.parts = threshold, []
-        for field, frame, kind in sources:
+        self.threshold = threshold
+
+        def part(source):
+            field, frame, kind = source
             id_col, text = frame.columns[:2]
             frame = frame.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-            self.parts.append((F.lit(field).alias("field"), kind, *self._stars(field, frame, kind, bands, rows)))
+            return F.lit(field).alias("field"), kind, *self._stars(field, frame, kind, bands, rows)
+
+        with ThreadPoolExecutor(max(1, len(sources))) as pool:  # sources don't wait for each other's last tasks
+            self.parts = list(pool.map(part, sources))
 
     def _stars(self, field, frame, kind, bands, rows):
         """Classes of equal words, the texts, the candidate edges, the members of crowded buckets, and the edges that hold."""

@@ -106,6 +106,10 @@ def oracle_sql() -> dict[str, str]:
         j AS (SELECT field, a.id AS id_a, b.id AS id_b, count(*) AS common FROM s a JOIN s b USING (field, x) WHERE a.id < b.id GROUP BY ALL)
         SELECT j.field AS field, id_a, id_b FROM j JOIN n a ON a.field = j.field AND a.id = id_a JOIN n b ON b.field = j.field AND b.id = id_b
         WHERE common * 10 >= 7 * (a.n + b.n - common)"""
+    groups = f"""
+        WITH RECURSIVE p AS MATERIALIZED ({similar}), e AS (SELECT field, id_a AS id, id_b AS other FROM p UNION ALL SELECT field, id_b, id_a FROM p),
+        r AS (SELECT * FROM e UNION SELECT r.field, r.id, e.other FROM r JOIN e ON r.field = e.field AND r.other = e.id)
+        SELECT field, id, min(other) AS group_id FROM r GROUP BY field, id"""
     windows = """
         WITH d AS (SELECT doc_id, any_value(text) AS t FROM documents WHERE length(text) >= 240 GROUP BY doc_id),
         w AS (SELECT doc_id, p, md5(substr(t, p, 240)) AS h FROM (SELECT doc_id, t, unnest(range(1, length(t) - 238)) AS p FROM d)),
@@ -127,6 +131,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p1_counts": counts,
         "p2_found": similar,
+        "p2_groups": groups,
         "p10_found": f"""{windows} SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM (SELECT DISTINCT doc_id, h FROM s) a
                          JOIN (SELECT DISTINCT doc_id, h FROM s) b USING (h) WHERE a.doc_id < b.doc_id""",
         "p10_shares": f"""{windows}, c AS (SELECT doc_id, sum(least(240, coalesce(next - p, 240)))::BIGINT AS n_shared FROM

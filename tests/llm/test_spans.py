@@ -42,7 +42,7 @@ def brute(rows):
     return pairs, {i: len(c) for i, c in covered.items()}
 
 
-@pytest.mark.parametrize("crowded", [spans.GROUP_BYTES, 3 * 24 * 145])
+@pytest.mark.parametrize("crowded", [spans.GROUP_BYTES, 3 * 24 * (LENGTH - GRAM + 1)])
 def test_pairs_and_shares(spark, monkeypatch, crowded):
     monkeypatch.setattr(spans, "GROUP_BYTES", crowded)
     rows = texts(7)
