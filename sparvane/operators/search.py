@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,36 @@ def look_up(index: DataFrame, term: str, buckets: int = 64) -> DataFrame:
     return index.where((F.col("bucket") == bucket) & (F.col("term") == term.lower()))
 
 
+class SearchIndex:
+    """A ranked search's index below ``path``: postings with their text's length by a hash of the term, and the corpus's figures.
+
+    A search reads the partitions of its terms only; texts are tokenised once, when the index is built.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+
+    def build(self, df: DataFrame, id_col: str, text: str) -> SearchIndex:
+        words = df.select(F.col(id_col).alias("id"), tokens(F.col(text)).alias("w")).where(F.size("w") > 0)
+        rows = words.select("id", F.size("w").alias("dl"), F.explode("w").alias("term")).groupBy("term", "id", "dl").agg(F.count("*").alias("tf"))
+        write_postings(rows, f"{self.path}/postings", self.buckets)
+        words.agg(F.count("*").alias("n"), F.avg(F.size("w")).alias("avgdl")).write.parquet(f"{self.path}/corpus")
+        return self
+
+    def search(self, query: list[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
+        """``(id, score)`` by Okapi BM25 of the texts with any query term."""
+        index = self.spark.read.parquet(f"{self.path}/postings")
+        found = None
+        for term in sorted({t.lower() for t in query}):
+            rows = look_up(index, term, self.buckets).select("id", "tf", "dl", "term")
+            found = rows if found is None else found.union(rows)
+        often = found.groupBy("term").agg(F.count("*").alias("d"))  # a row per query term
+        scored = found.join(F.broadcast(often), "term").crossJoin(F.broadcast(self.spark.read.parquet(f"{self.path}/corpus")))  # one row
+        idf = F.log(1 + (F.col("n") - F.col("d") + 0.5) / (F.col("d") + 0.5))
+        score = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
+        return scored.groupBy("id").agg(F.sum(score).alias("score"))
+
+
 def term_stats(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """``(term, df, cf)``: in how many texts, and how often in all, each term occurs."""
     return postings(df, id_col, text).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))

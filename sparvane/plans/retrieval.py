@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import digest, search, vector
-from ..runtime import table
+from ..runtime import shared_dir, table
 from ..streaming import streams
 from .registry import query
 
@@ -20,12 +22,21 @@ def inverted_index(spark: SparkSession, d: str) -> DataFrame:
     return search.term_stats(table(spark, d, "documents"), "doc_id", "text")
 
 
-@query(f"""WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE len({_WORDS}) > 0),
+_RANKED = f"""WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE len({_WORDS}) > 0),
            r AS (SELECT doc_id, len(w) AS dl, len(list_filter(w, lambda x: x = 'error')) AS tf0, len(list_filter(w, lambda x: x = 'webhooks')) AS tf1 FROM w),
            c AS (SELECT count(*) AS n, avg(dl) AS a, count(*) FILTER (WHERE tf0 > 0) AS d0, count(*) FILTER (WHERE tf1 > 0) AS d1 FROM r)
            SELECT doc_id, round(ln(1 + (n - d0 + 0.5::DOUBLE) / (d0 + 0.5::DOUBLE)) * tf0 * 2.2::DOUBLE / (tf0 + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / a))
                               + ln(1 + (n - d1 + 0.5::DOUBLE) / (d1 + 0.5::DOUBLE)) * tf1 * 2.2::DOUBLE / (tf1 + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / a)), 6) AS score
-           FROM r, c WHERE tf0 > 0 OR tf1 > 0""")
+           FROM r, c WHERE tf0 > 0 OR tf1 > 0"""
+
+
+@query(_RANKED)
+def bm25_indexed(spark: SparkSession, d: str) -> DataFrame:
+    index = search.SearchIndex(spark, f"{shared_dir(spark)}/index-{uuid.uuid4().hex[:8]}").build(table(spark, d, "documents"), "doc_id", "text")
+    return index.search(["error", "webhooks"]).select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+@query(_RANKED)
 def bm25_search(spark: SparkSession, d: str) -> DataFrame:
     scored = search.bm25(table(spark, d, "documents"), "doc_id", "text", ["error", "webhooks"])
     return scored.select("doc_id", F.round("score", 6).alias("score"))

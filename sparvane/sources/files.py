@@ -99,6 +99,6 @@ def index_files(files: DataFrame, indexed: DataFrame | None, force: bool = False
     return fresh, counts
 
 
-def write_search_index(rows: DataFrame, path: str) -> None:
-    """The catalog as one JSON-lines file for a browser client; the catalog is small by definition."""
-    rows.coalesce(1).write.mode("overwrite").json(path)
+def write_search_index(rows: DataFrame, path: str, rows_per_file: int = 50_000) -> None:
+    """The catalog as JSON-lines files of a bounded number of rows for a browser client, written in parallel."""
+    rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).json(path)
