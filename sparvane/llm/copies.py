@@ -127,7 +127,9 @@ class CopyLedger:
             return self.spark.createDataFrame([], schema)
         name = f"sparvane_{uuid.uuid4().hex}"
         self.spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY ({', '.join(by)}) INTO {buckets} BUCKETS LOCATION '{self.path}/{folder}'")
-        return self.spark.table(name)
+        rows = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the frame keeps what it needs; the files stay
+        return rows
 
     def _write(self, rows: DataFrame, folder: str, by: tuple[str, str], buckets: int, mode: str = "error") -> None:
         name = f"sparvane_{uuid.uuid4().hex}"

@@ -335,26 +335,32 @@ class NearDuplicates:
         keyed = materialize(frame.select("id", _words_key(F.col("text")).alias("key")), f"keys-{field}").where("key is not null")
         several = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("most")).where("most > rep").select("key", "rep")
         classes = materialize(keyed.join(several, "key").select("id", "rep").distinct(), f"copies-{field}")
-        reps = frame.join(classes.where("id != rep").select("id"), "id", "left_anti")
+        others = classes.where("id != rep").select("id")
         bits = 256 if kind[1] else 512  # runs of characters are taken of short texts
-        signed = "id long, n int, sketch binary, bands array<long>, counts array<int>"
-        signed = materialize(reps.mapInArrow(_signed(kind, field, bands, rows, bits), signed), f"signed-{field}")
+        schema = "id long, n int, sketch binary, bands array<long>, counts array<int>"
+        # Where copies are too many to be broadcast, what is shorter moves: short texts, or what long ones are signed with.
+        reps = frame.join(others, "id", "left_anti") if kind[1] else frame
+        signed = materialize(reps.mapInArrow(_signed(kind, field, bands, rows, bits), schema), f"signed-{field}")
         # A class with no run at all has no similarity, not even to itself.
         classes = materialize(classes.join(signed.select(F.col("id").alias("rep")).distinct(), "rep", "left_semi"), f"classes-{field}")
-        edges, crowded = self._candidates(field, signed, bits)
+        edges, crowded = self._candidates(field, signed, None if kind[1] else others, bits)
         first = materialize(self._checked(edges, frame, kind), f"alike-{field}")
         return classes, frame, edges, crowded, first
 
-    def _candidates(self, field, signed, bits):
-        """``(id_a, id_b)`` from the buckets, and ``(id)`` of the members of crowded ones."""
+    def _candidates(self, field, signed, others, bits):
+        """``(id_a, id_b)`` from the buckets, and ``(id)`` of the members of crowded ones, without the ``others``."""
         records = signed.where("id is not null")
+        least = max(FULL, int(HOT_SHARE * records.count()))
+        records = records if others is None else records.join(others, "id", "left_anti")
         by_band = records.select("id", F.explode("bands").alias("band")).select("band", "id")
         counted = signed.where("id is null").select(F.explode(F.arrays_zip("bands", "counts")).alias("x"))
         counted = counted.groupBy(F.col("x.bands").alias("band")).agg(F.sum("x.counts").alias("times"))
-        least = max(FULL, int(HOT_SHARE * records.count()))
-        hot = counted.where(F.col("times") >= least).select("band")
-        hot = [r["band"] for r in hot.collect()]  # at most BANDS / HOT_SHARE of them
+        hot = [r["band"] for r in counted.where(F.col("times") >= least).collect()]  # at most BANDS / HOT_SHARE of them
         known = F.broadcast(signed.sparkSession.createDataFrame([(x,) for x in hot], "band long"))
+        if hot and others is not None:  # copies were counted too
+            exact = by_band.join(known, "band").groupBy("band").agg(F.count("*").alias("times"))
+            hot = [r["band"] for r in exact.where(F.col("times") >= least).collect()]
+            known = F.broadcast(signed.sparkSession.createDataFrame([(x,) for x in hot], "band long"))
         members = by_band.join(known, "band", "left_anti") if hot else by_band
         shared = members.repartition("band").sortWithinPartitions("band", "id").mapInArrow(_shared, "band long, id long")
         sketches = records.select("id", "n", "sketch").dropDuplicates(["id"])
