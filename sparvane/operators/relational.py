@@ -17,10 +17,18 @@ def merge_append(*inputs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), inputs)
 
 
-def merge_by_key(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner", suffix: str = "_right") -> DataFrame:
+#: Ways to join that may be asked for; whether a side is broadcast is left to the planner, which knows its size.
+HINTS = ("merge", "shuffle_hash")
+
+
+def merge_by_key(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner", suffix: str = "_right", hint: str | None = None) -> DataFrame:
     """Equi-join on ``on``; columns of ``b`` that clash get ``suffix``. Null keys match nothing."""
     if how not in HOW:
         raise ValueError(f"how must be one of {HOW}")
+    if hint is not None:
+        if hint not in HINTS:
+            raise ValueError(f"hint must be one of {HINTS}")
+        b = b.hint(hint)
     clash = {c: c + suffix for c in b.columns if c in a.columns and c not in on}
     return a.join(b.withColumnsRenamed(clash), on, how)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Where this driver's intermediate tables lie, below the shared folder.
 _RUN = f"sparvane-{uuid.uuid4().hex[:12]}"
+#: Applications whose folder is deleted when the driver ends.
+_TO_CLEAR: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,9 +33,20 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="sparvane-")
         spark.conf.set("sparvane.scratch.dir", at)
+    if spark.sparkContext.applicationId not in _TO_CLEAR:
+        _TO_CLEAR.add(spark.sparkContext.applicationId)
+        atexit.register(_clear_at_exit, spark)
     return f"{at.rstrip('/')}/{_RUN}"
 
 
+def _clear_at_exit(spark: SparkSession) -> None:
+    """What this driver has written for itself goes with it, if the session is still there."""
+    try:
+        clear_scratch(spark)
+    except Exception:
+        pass  # the session was stopped before; its folder stays for the caller to delete
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a reader of it.
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.relational import compare_datasets
+
 
 def write_table(df: DataFrame, url: str, name: str, mode: str = "append", **options: str) -> None:
     """Rows into a database table over JDBC, one connection per task."""
@@ -81,3 +84,46 @@ class KeyValueStore:
         fs = fs_path(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         fs.delete(fs_path(f"{self.path}/log"), True)
         fs.rename(fs_path(f"{self.path}/new"), fs_path(f"{self.path}/log"))
+
+
+def new_since(rows: DataFrame, column: str, store: KeyValueStore, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows beyond the greatest value of ``column`` seen so far, and a function that remembers the new one.
+
+    An incremental loop handles the rows and then calls it; if it breaks off before, the same rows come again.
+    Values are kept as text and cast back, so numbers, dates, timestamps and texts will do. Null values never come.
+    """
+    spark, kind = rows.sparkSession, rows.schema[column].dataType.simpleString()
+    last = store.get(spark.createDataFrame([(name,)], "key string")).first()
+    fresh = rows.where(F.col(column).isNotNull())
+    if last:
+        fresh = fresh.where(F.col(column) > F.lit(last["value"]).cast(kind))
+
+    def remember() -> None:
+        newest = fresh.agg(F.max(column).cast("string").alias("value")).where("value is not null")
+        store.put(newest.select(F.lit(name).alias("key"), "value"))
+
+    return fresh, remember
+
+
+class SnapshotFeed:
+    """Changes of a table that tells none by itself: every poll is compared with the one before, which is kept below ``path``."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        at = paths(f"{self.path}/v*/_SUCCESS")  # written last, so a poll that broke off is not there
+        found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or ()
+        self.version = max((int(x.getPath().getParent().getName()[1:]) for x in found), default=0)
+
+    def poll(self, current: DataFrame, keys: list[str]) -> DataFrame:
+        """``keys``, ``action`` (insert, update, delete) and the values before and after (``old_*``, ``new_*``); keys must be unique."""
+        at = f"{self.path}/v{self.version + 1}"
+        current.write.mode("overwrite").parquet(at)
+        now = self.spark.read.schema(current.schema).parquet(at)
+        before = self.spark.read.schema(current.schema).parquet(f"{self.path}/v{self.version}") if self.version else now.limit(0)
+        self.version += 1
+        found = compare_datasets(now, before, keys)
+        action = F.when(F.col("status") == "only_a", "insert").when(F.col("status") == "only_b", "delete").when(F.col("status") == "different", "update")
+        values = [c for c in current.columns if c not in keys]
+        columns = [F.col(f"{side}_{c}").alias(f"{name}_{c}") for c in values for side, name in (("b", "old"), ("a", "new"))]
+        return found.select(*keys, action.alias("action"), *columns).where("action is not null")

@@ -31,8 +31,10 @@ def test_merges(spark):
     b = spark.createDataFrame([(1, "z"), (None, "y"), (2, "x")], "k int, v string")
     assert rows(relational.merge_by_key(a, b, ["k"])) == [(1, "a", "z"), (1, "b", "z")]
     assert relational.merge_by_key(a, b, ["k"], "full_outer").count() == 5
-    with pytest.raises(ValueError):
-        relational.merge_by_key(a, b, ["k"], "sideways")
+    for wrong in ({"how": "sideways"}, {"hint": "broadcast"}):
+        with pytest.raises(ValueError):
+            relational.merge_by_key(a, b, ["k"], **wrong)
+    assert rows(relational.merge_by_key(a, b, ["k"], hint="shuffle_hash")) == [(1, "a", "z"), (1, "b", "z")]
     assert relational.merge_append(a, b.drop("v")).where("v is null").count() == 3
 
 

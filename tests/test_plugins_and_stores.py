@@ -157,3 +157,26 @@ def test_sitemap_and_digest(spark, tmp_path):
     companies = spark.createDataFrame([("Acme", "acme")], "company string, token string")
     counts, page = digest.build_digest(records, companies, [("product_launches", ["new"])], "2024-01-01")
     assert tuple(counts.first()) == (2, 2, 1) and "## product_launches / Acme" in page.first()["text"]
+
+
+def test_incremental_loop_and_feed(spark, tmp_path):
+    store = stores.KeyValueStore(spark, str(tmp_path / "marks"))
+    rows = spark.createDataFrame([(k, k * 10) for k in range(5)] + [(9, None)], "id long, at long")
+    fresh, remember = stores.new_since(rows.where("id < 3 or id = 9"), "at", store, "loop")
+    assert fresh.count() == 3 and stores.new_since(rows, "at", store, "loop")[0].count() == 5
+    remember()
+    fresh, remember = stores.new_since(rows, "at", store, "loop")
+    assert sorted(r["id"] for r in fresh.collect()) == [3, 4]
+    remember()
+    stores.new_since(rows, "at", store, "loop")[1]()
+    assert stores.new_since(rows, "at", store, "loop")[0].count() == 0
+    polls = [[(1, "a"), (2, "b")], [(1, "a"), (2, "c"), (3, "d")], [(3, "d")]]
+    got = []
+    for poll in polls:  # each by a reader that was opened anew
+        feed = stores.SnapshotFeed(spark, str(tmp_path / "feed"))
+        got.append(sorted(tuple(r) for r in feed.poll(spark.createDataFrame(poll, "id long, v string"), ["id"]).collect()))
+    assert got == [
+        [(1, "insert", None, "a"), (2, "insert", None, "b")],
+        [(2, "update", "b", "c"), (3, "insert", None, "d")],
+        [(1, "delete", "a", None), (2, "delete", "c", None)],
+    ]
