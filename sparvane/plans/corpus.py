@@ -88,9 +88,7 @@ _KEYS = ("trigger_type", "category")
     )
 )
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "workflows")
-    one, two = (skew.frequent_values(rows, c).select(F.lit(c).alias("field"), "key_value") for c in _KEYS)
-    return one.union(two)
+    return skew.frequent_values_of(table(spark, sf_dir, "workflows"), list(_KEYS)).select("field", "key_value")
 
 
 @query(
@@ -102,5 +100,6 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def p7_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "workflows")
-    one, two = (skew.per_key(rows, c, "wf_id", "active", "node_count").withColumn("field", F.lit(c)) for c in _KEYS)
+    heavy, _ = skew.heavy_keys_of(rows, list(_KEYS))
+    one, two = (skew.per_key(rows, c, "wf_id", "active", "node_count", heavy=k).withColumn("field", F.lit(c)) for c, k in zip(_KEYS, heavy))
     return one.union(two).select("field", "key_value", "n_rows", "n_ids", "n_flagged", "avg_measure")
