@@ -125,11 +125,16 @@ def oracle_sql() -> dict[str, str]:
               FROM (SELECT file_id, CASE WHEN json_valid(c) THEN c::JSON END AS j FROM f), json_tree(j)),
         t AS (SELECT file_id, string_agg(x, chr(10) ORDER BY x) AS told FROM x GROUP BY file_id),
         k AS (SELECT file_id, list_transform(nodes, lambda n: coalesce({node} || coalesce({parameters}::VARCHAR, '~'), '-'))::VARCHAR AS a,
-                     CASE WHEN c IS NULL THEN 'null' WHEN t.file_id IS NULL THEN '!' || {bare.format("c")} ELSE told END AS b FROM f LEFT JOIN t USING (file_id))
-        SELECT 'nodes' AS field, count(*) AS n, min(file_id) AS keep_id FROM k GROUP BY a, b
-        UNION ALL SELECT 'filename', count(DISTINCT wf_id), min(wf_id) FROM workflows WHERE filename IS NOT NULL GROUP BY {bare.format("filename")}"""
+                     CASE WHEN c IS NULL THEN 'null' WHEN t.file_id IS NULL THEN '!' || {bare.format("c")} ELSE told END AS b FROM f LEFT JOIN t USING (file_id))"""
+    name_form = bare.format("filename")
+    counted = f"""{counts} SELECT 'nodes' AS field, count(*) AS n, min(file_id) AS keep_id FROM k GROUP BY a, b
+        UNION ALL SELECT 'filename', count(DISTINCT wf_id), min(wf_id) FROM workflows WHERE filename IS NOT NULL GROUP BY {name_form}"""
+    found = f"""{counts}, m AS (SELECT 'nodes' AS field, min(file_id) OVER (PARTITION BY a, b) AS keep_id, file_id AS copy_id FROM k
+        UNION SELECT 'filename', min(wf_id) OVER (PARTITION BY {name_form}), wf_id FROM workflows WHERE filename IS NOT NULL)
+        SELECT field, keep_id, copy_id FROM m WHERE copy_id > keep_id"""
     return {
-        "p1_counts": counts,
+        "p1_counts": counted,
+        "p1_found": found,
         "p2_found": similar,
         "p2_groups": groups,
         "p10_found": f"""{windows} SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM (SELECT DISTINCT doc_id, h FROM s) a

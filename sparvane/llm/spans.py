@@ -326,16 +326,14 @@ class SharedSpans:
         self.most = max(1, GROUP_BYTES // (2 * 12 * (self.around + 1)))
         docs = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text")).where(F.char_length("text") >= length)
         self.classes = materialize(text_classes(docs, length, "text", "doc"), "span-classes")
-        # Of each class one text takes part; the others' ids are few or the planner shuffles both sides.
-        others = self.classes.where("doc != rep").select("doc")
-        self.docs = docs.join(others, "doc", "left_anti")
+        self.docs, self.others = docs, self.classes.where("doc != rep").select("doc")  # of each class one text takes part
 
     def _surroundings(self) -> tuple[DataFrame, DataFrame]:
         """Neighbourhoods of anchors that several texts have, by group; windows of the crowded ones."""
         w = self.around + 1
-        anchors = materialize(
-            self.docs.select("doc", "text").mapInArrow(_anchor_rows(self.gram, w), "anchor long, doc long, at long"), "span-anchors"
-        )
+        anchors = self.docs.select("doc", "text").mapInArrow(_anchor_rows(self.gram, w), "anchor long, doc long, at long")
+        # Copies go here and not before: where they are too many to be broadcast, anchors move instead of texts.
+        anchors = materialize(anchors.join(self.others, "doc", "left_anti").select("anchor", "doc", "at"), "span-anchors")
         shared = anchors.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("n"))
         shared = materialize(shared.where("least < most").select("anchor", (F.col("n") > self.most).alias("crowded")), "span-shared")
 
