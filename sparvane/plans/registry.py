@@ -27,7 +27,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
 
 def _load() -> None:
-    from . import catalog, corpus, items, retrieval  # noqa: F401
+    from . import catalog, corpus, items, retrieval, steps  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

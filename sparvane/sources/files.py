@@ -43,6 +43,40 @@ def convert_to_file(df: DataFrame, path: str, kind: str, mode: str = "errorifexi
     df.write.format(kind).mode(mode).options(**({"header": "true"} if kind == "csv" else {}) | options).save(path)
 
 
+def write_files(rows: DataFrame, folder: str, name: str = "path", content: str = "content") -> DataFrame:
+    """A file per row below ``folder`` (any file system that Arrow knows); ``(path, size)`` of those written, when it is run.
+
+    Files are written beside and renamed, so none is ever half there, and a task that is tried again replaces its own.
+    Names must be unique and stay below the folder; rows with a null name or content write nothing.
+    """
+
+    def run(batches):
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow.fs import FileSystem
+
+        system, root = FileSystem.from_uri(folder)
+        for batch in batches:
+            done = []
+            for at, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if at is None or data is None:
+                    continue
+                if at.startswith("/") or ".." in at.split("/"):
+                    raise ValueError(f"{at!r} is not below the folder")
+                path = f"{root}/{at}"
+                system.create_dir(path.rpartition("/")[0], recursive=True)
+                beside = f"{path}.{uuid.uuid4().hex[:8]}.part"
+                with system.open_output_stream(beside, compression=None) as out:
+                    out.write(data)
+                system.move(beside, path)
+                done.append((at, len(data)))
+            paths, sizes = zip(*done) if done else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], names=["path", "size"])
+
+    return rows.select(F.col(name).alias("path"), F.col(content).cast("binary").alias("content")).mapInArrow(run, "path string, size long")
+
+
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
     """Items of RSS files: title, link, description, date."""
     schema = "title string, link string, description string, pubDate string, guid string"
