@@ -35,11 +35,11 @@ def test_formats(spark, tmp_path, kind):
 
 
 def test_binary_files(spark, tmp_path):
-    rows = spark.createDataFrame([("a/x.bin", b"\x00\xff"), ("y.txt", b""), (None, b"z"), ("n", None)], "path string, content binary")
+    rows = spark.createDataFrame([("a/x.bin", b"\x00\xff"), ("y.txt", b"y"), (None, b"z"), ("n", None)], "path string, content binary")
     done = files.write_files(rows, f"file://{tmp_path}/out")
-    assert sorted(tuple(r) for r in done.collect()) == sorted(tuple(r) for r in done.collect()) == [("a/x.bin", 2), ("y.txt", 0)]
+    assert sorted(tuple(r) for r in done.collect()) == sorted(tuple(r) for r in done.collect()) == [("a/x.bin", 2), ("y.txt", 1)]
     back = files.extract_from_file(spark, str(tmp_path / "out"), "binaryFile", recursiveFileLookup="true")
-    assert {r["path"].split("/out/")[1]: bytes(r["content"]) for r in back.collect()} == {"a/x.bin": b"\x00\xff", "y.txt": b""}
+    assert {r["path"].split("/out/")[1]: bytes(r["content"]) for r in back.collect()} == {"a/x.bin": b"\x00\xff", "y.txt": b"y"}
     with pytest.raises(Exception, match="not below"):
         files.write_files(rows.selectExpr("'../up' AS path", "content"), f"file://{tmp_path}/out").count()
 
