@@ -190,20 +190,19 @@ def error_stream(spark: SparkSession, d: str) -> DataFrame:
     return good.withColumn("failed", F.lit(False)).union(bad.withColumn("failed", F.lit(True)))
 
 
-_CUT, _LATE = "2024-07-01", 7
+_LATE = 7
 
 
-@query(f"""WITH r AS (SELECT *, loaded_at >= TIMESTAMP '{_CUT}' AS second, time_bucket(INTERVAL 1 DAY, run_at) AS day FROM timing WHERE run_at IS NOT NULL AND loaded_at IS NOT NULL),
-          m AS (SELECT date_trunc('milliseconds', max(run_at) FILTER (WHERE NOT second)) - INTERVAL {_LATE} DAY AS w1, date_trunc('milliseconds', max(run_at)) - INTERVAL {_LATE} DAY AS w2 FROM r)
-          SELECT test, day AS window_start, count(*) AS n, round(sum(elapsed_ms), 4) AS total FROM r, m
+@query(f"""WITH r AS (SELECT *, event_type = 'purchase' AS second, time_bucket(INTERVAL 1 DAY, ts) AS day FROM events),
+          m AS (SELECT date_trunc('milliseconds', max(ts) FILTER (WHERE NOT second)) - INTERVAL {_LATE} DAY AS w1, date_trunc('milliseconds', max(ts)) - INTERVAL {_LATE} DAY AS w2 FROM r)
+          SELECT event_type, day AS window_start, count(*) AS n, round(sum(value), 4) AS total FROM r, m
           WHERE day + INTERVAL 1 DAY <= w2 AND (NOT second OR day + INTERVAL 1 DAY > w1) GROUP BY ALL""")
 def late_drop(spark: SparkSession, d: str) -> DataFrame:
-    """Daily windows over two deliveries, the second of which has rows whose window was closed after the first: those are dropped."""
-    rows = table(spark, d, "timing").where("run_at is not null and loaded_at is not null").select("test", F.col("run_at").cast("timestamp").alias("run_at"), "elapsed_ms", "loaded_at")
-    second = F.col("loaded_at") >= F.lit(_CUT).cast("timestamp_ntz")
-    deliveries = [rows.where(c).drop("loaded_at") for c in (~second, second)]
-    out = streams.deliver(deliveries, lambda s: streams.tumbling_counts(s, "run_at", ["test"], "1 day", "elapsed_ms", late=f"{_LATE} days"), "late-drop")
-    return out.select("test", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", F.round("total", 4).alias("total"))
+    """Daily windows over two deliveries: purchases come after all else, so most of theirs were closed after the first, and those rows are dropped."""
+    rows = table(spark, d, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+    second = F.col("event_type") == "purchase"
+    out = streams.deliver([rows.where(~second), rows.where(second)], lambda s: streams.tumbling_counts(s, "ts", ["event_type"], "1 day", "value", late=f"{_LATE} days"), "late-drop")
+    return out.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", F.round("total", 4).alias("total"))
 
 
 @query(f"""SELECT query_id, id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY label, id) AS n FROM
