@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from ..runtime import materialize
+from .flatten import sound
 
 #: The lattice: the join of two types is the larger; objects and lists have only text above them.
 LATTICE = ("null", "boolean", "number", "string", "array", "object")
@@ -82,11 +83,31 @@ def objects_of(body: dict) -> Iterator[tuple[str, dict]]:
                     yield from (("link", x) for x in (links if isinstance(links, list) else ()) if isinstance(x, dict))
 
 
+def _refuse(constant: str):
+    raise ValueError(f"{constant} is no JSON")
+
+
+def _whole(digits: str) -> int | float:
+    return int(digits) if len(digits) < 1000 else float(digits)
+
+
+def _sound(value):
+    """A JSON value whose texts have no halves of surrogate pairs that stand alone."""
+    if isinstance(value, str):
+        return sound(value)
+    if isinstance(value, list):
+        return [_sound(x) for x in value]
+    return {sound(k): _sound(x) for k, x in value.items()} if isinstance(value, dict) else value
+
+
 def parsed(body: str | None):
+    """The object that a body is, or None."""
     if body is None:
         return None
     try:
-        value = json.loads(body)
+        value = json.loads(body, parse_constant=_refuse, parse_int=_whole)
+        if "\\ud" in body or "\\uD" in body:
+            value = _sound(value)
     except (ValueError, RecursionError):
         return None
     return value if isinstance(value, dict) else None

@@ -36,6 +36,11 @@ def _slices(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
 
 
+def sound(text: str) -> str:
+    """The text with halves of surrogate pairs that stand alone, which JSON's escapes allow, as U+FFFD."""
+    return re.sub("[\ud800-\udfff]", "\ufffd", text)
+
+
 class StructuralIndex:
     """Tokens of a batch of JSON texts.
 
@@ -185,7 +190,7 @@ class StructuralIndex:
     def strings(self, tokens: np.ndarray) -> list[str | None]:
         """The decoded values of string tokens."""
         raw = _slices(self.data, self.start[tokens] + 1, self.end[tokens] - 1).to_pylist()
-        return [json.loads(b'"' + x + b'"') if b"\\" in x else x.decode("utf-8", "replace") for x in raw]
+        return [sound(json.loads(b'"' + x + b'"')) if b"\\" in x else x.decode("utf-8", "replace") for x in raw]
 
     def is_named(self, tokens: np.ndarray, name: str) -> np.ndarray:
         """Whether the field name of each token is ``name``."""

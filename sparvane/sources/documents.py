@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.text import _Page
+from ..operators.flatten import sound
 
 SCHEMA = "source string, part int, text string, error string"
 
@@ -158,7 +159,7 @@ def _load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for source, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             rows = []
             try:
-                rows = [(source, k, t, None) for k, t in enumerate(parts_of(source, content or b""))]
+                rows = [(source, k, sound(t), None) for k, t in enumerate(parts_of(source, content or b""))]
             except (ValueError, KeyError, IndexError, zipfile.BadZipFile, ElementTree.ParseError, csv.Error, RecursionError) as error:
                 rows = [(source, 0, None, f"{type(error).__name__}: {error}")]
             if rows:

@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..operators.flatten import sound
+
 #: Transports by name: a function from URL (and a request's body, if there is one) to response text, registered by the caller.
 TRANSPORTS: dict[str, Callable[..., str]] = {}
 
@@ -33,7 +35,7 @@ class PagedReader(DataSourceReader):
         for page in range(partition.first, partition.last):
             url = self.options["url"].replace("{page}", str(page))
             for item in self._items(json.loads(self.transport(url, *self._body(page)))):
-                yield page, json.dumps(item, ensure_ascii=False)
+                yield page, sound(json.dumps(item, ensure_ascii=False))
 
     def _body(self, page: int) -> list[str]:
         if "query" not in self.options:

@@ -115,3 +115,17 @@ def test_the_most_frequent_stand_in_wins(spark):
     files, layout = frames(spark, bodies)
     got = {tuple(r) for r in drift.changes(files, layout).where("raw_id = 9").collect()}
     assert got == {(9, "file", "name", "renamed", "title"), (9, "file", "note", "added", "string")}
+
+
+def test_odd_bodies(spark):
+    """Lone surrogates become U+FFFD, numbers of any length are numbers, what only looks like JSON is broken, deep nesting too."""
+    good = json.dumps(GOOD)[:-1]
+    bodies = [
+        (1, good + ', "k\\ud800": "v\\udfff", "e": "\\ud83d\\ude00"}'), (2, good + f', "big": {"9" * 6000}}}'), (3, good + ', "n": NaN}'), (4, '{"a":' * 100_000 + "1" + "}" * 100_000),
+        (5, good + ', "tags": [1, 1]}'), (6, ""), (7, " "),
+    ]
+    files, layout = frames(spark, bodies)
+    got = {tuple(r) for r in drift.changes(files, layout).collect()}
+    assert got == {(1, "file", "k\ufffd", "added", "string"), (1, "file", "e", "added", "string"), (2, "file", "big", "added", "number")}
+    table = {r["raw_id"]: r for r in drift.uniform(files, layout).collect()}
+    assert set(table) == {1, 2, 5} and json.loads(table[1]["extra"]) == {"k\ufffd": "v\ufffd", "e": "\U0001f600"} and table[5]["tags"] == "[1,1]"

@@ -101,3 +101,10 @@ def test_links_after_any_json_white_space(spark):
     rows = [(k, [("a",), ("b",)], lead + links) for k, lead in enumerate(["", " ", "\n", "\r\n", "\t", " \n\t"])]
     files = spark.createDataFrame(rows, "file_id long, nodes array<struct<name:string>>, connections string")
     assert sorted(r["file_id"] for r in flatten.flatten_links(files).collect()) == list(range(6))
+
+
+def test_lone_surrogates(spark):
+    nodes = [{"name": "a", "parameters": {"rules": '{"values": [{"id": "r\\ud800"}, {"id": "\\ud83d\\ude00"}]}'}}]
+    frame = spark.createDataFrame([(1, nodes, '{"a": {"main": [[{"node": "a\\udc00"}]]}}')], "file_id long, nodes array<struct<name:string,parameters:map<string,string>>>, connections string")
+    got = {(r["kind"], r["slot"], r["child"]) for r in flatten.flatten(frame).collect()}
+    assert got == {("rule", 0, "r\ufffd"), ("rule", 1, "\U0001f600")}
