@@ -161,7 +161,7 @@ def sliding_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stream(spark, d, name="events"):
-    return streams.file_stream(spark, d, table(spark, d, name).schema, pathGlobFilter=f"{name}.parquet")
+    return streams.table_stream(spark, f"{d}/{name}.parquet", table(spark, d, name).schema)
 
 
 @query("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL")

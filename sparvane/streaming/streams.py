@@ -20,6 +20,14 @@ def file_stream(spark: SparkSession, path: str, schema, kind: str = "parquet", f
     return spark.readStream.format(kind).schema(schema).options(**limit, **options).load(path)
 
 
+def table_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The files of a Parquet table as a stream, be the table one file or a folder of them; Spark streams no path of a single file."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return file_stream(spark, path, schema)
+    return file_stream(spark, path.rpartition("/")[0], schema, pathGlobFilter=at.getName())
+
+
 def broker_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """Messages of a topic; needs the Kafka connector on the class path."""
     source = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)

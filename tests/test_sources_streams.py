@@ -7,6 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from sparvane.plans import registry
 from sparvane.sources import files, http
 from sparvane.streaming import streams
 
@@ -98,6 +99,21 @@ def test_stream_dedup_errors_and_upserts(spark, tmp_path):
     assert [r["id"] for r in latest] == [2]
 
 
+def test_table_streams_of_a_file_and_of_a_folder(spark, tmp_path):
+    query = registry.queries()["error_stream"]
+    runs = [(k, "t", ["timeout after 5 s", "refused", None][k % 3]) for k in range(230)]
+    frame = spark.createDataFrame(runs, "run_id long, test string, error string")
+    want = sorted(((*r, bool(r[2]) and r[2].startswith("timeout")) for r in runs))
+    (tmp_path / "many").mkdir()
+    frame.repartition(120).write.parquet(str(tmp_path / "many" / "timing.parquet"))  # more files than one batch takes
+    frame.coalesce(1).write.parquet(str(tmp_path / "part"))
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "part").glob("*.parquet")).rename(tmp_path / "one" / "timing.parquet")
+    frame.limit(1).coalesce(1).write.parquet(str(tmp_path / "one" / "other.parquet"))
+    for kind in ("many", "one"):
+        assert sorted(tuple(r) for r in query(spark, str(tmp_path / kind)).collect()) == want
+
+
 def test_sessions(spark):
     got = streams.session_windows(events(spark, [0, 5, 30]), "ts", ["user"], "10 minutes").orderBy("session_start").collect()
     assert [r["n"] for r in got] == [2, 1]
