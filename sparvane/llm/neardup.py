@@ -27,10 +27,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import materialize
+from ..runtime import discard, free_shuffles, materialize
 
 THRESHOLD = 0.7
 BANDS, ROWS = 44, 5
@@ -118,6 +118,10 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, n: int, bins: int) -> np.n
     return full
 
 
+def _bits(kind: tuple) -> int:
+    return 256 if kind[1] else 512  # runs of characters are taken of short texts
+
+
 def _signed(kind: tuple, field: str, bands: int, rows: int, bits: int):
     """(id, text) to (id, size and sketch of its set, band keys); texts without a run give none.
 
@@ -336,7 +340,7 @@ class NearDuplicates:
         several = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("most")).where("most > rep").select("key", "rep")
         classes = materialize(keyed.join(several, "key").select("id", "rep").distinct(), f"copies-{field}")
         others = classes.where("id != rep").select("id")
-        bits = 256 if kind[1] else 512  # runs of characters are taken of short texts
+        bits = _bits(kind)
         schema = "id long, n int, sketch binary, bands array<long>, counts array<int>"
         # Where copies are too many to be broadcast, what is shorter moves: short texts, or what long ones are signed with.
         reps = frame.join(others, "id", "left_anti") if kind[1] else frame
@@ -348,7 +352,10 @@ class NearDuplicates:
         return classes, frame, edges, crowded, first
 
     def _candidates(self, field, signed, others, bits):
-        """``(id_a, id_b)`` from the buckets, and ``(id)`` of the members of crowded ones, without the ``others``."""
+        """``(id_a, id_b)`` from the buckets, and the members of crowded ones with their sketches, without the ``others``.
+
+        Sketches come as numbers, ``word0`` and on, and ``slack``: how many members of the set have no mark of their own.
+        """
         records = signed.where("id is not null")
         least = max(FULL, int(HOT_SHARE * records.count()))
         records = records if others is None else records.join(others, "id", "left_anti")
@@ -364,15 +371,24 @@ class NearDuplicates:
         members = by_band.join(known, "band", "left_anti") if hot else by_band
         shared = members.repartition("band").sortWithinPartitions("band", "id").mapInArrow(_shared, "band long, id long")
         sketches = records.select("id", "n", "sketch").dropDuplicates(["id"])
-        met = materialize(shared, f"met-{field}").join(sketches, "id").select("band", "id", "n", "sketch")
-        stars = met.repartition("band").sortWithinPartitions("band", "id").mapInArrow(_bucket_edges(self.threshold, bits), "id_a long, id_b long")
+        met = materialize(shared, f"met-{field}")
+        free_shuffles(signed.sparkSession)  # all bands have moved
+        stars = met.join(sketches, "id").select("band", "id", "n", "sketch").repartition("band").sortWithinPartitions("band", "id").mapInArrow(_bucket_edges(self.threshold, bits), "id_a long, id_b long")
         if hot:
             own = by_band.join(known, "band")
             hubs = F.broadcast(own.groupBy("band").agg(F.min("id").alias("hub")))  # a row per hot bucket
             ends = [F.struct(F.col(c).alias("id_a"), F.col("id").alias("id_b")) for c in ("hub", "id")]
             stars = stars.union(own.join(hubs, "band").select(F.explode(F.array(*ends)).alias("e")).select("e.*"))
         stars = materialize(stars.distinct(), f"stars-{field}")
-        return stars.where("id_a != id_b"), stars.where("id_a = id_b").select(F.col("id_a").alias("id"))
+        crowded = stars.where("id_a = id_b").select(F.col("id_a").alias("id"))
+        if not crowded.isEmpty():
+            words = [F.conv(F.hex(F.substring("sketch", 8 * k + 1, 8)), 16, -10).cast("long").alias(f"word{k}") for k in range(bits // 64)]
+            crowded = sketches.join(crowded, "id", "left_semi").select("id", (F.col("n") - reduce(Column.__add__, map(F.bit_count, words))).alias("slack"), *words)
+            crowded = materialize(crowded, f"crowded-{field}")
+        for done in (met, signed):
+            discard(done)
+        free_shuffles(stars.sparkSession)
+        return stars.where("id_a != id_b"), crowded
 
     @property
     def classes(self) -> DataFrame:
@@ -389,6 +405,7 @@ class NearDuplicates:
 
         Tokens are ordered from the rarest on. Two sets that are alike share one among the first
         ``n - threshold * n + 1`` of each, and from the first that they share on, enough are left in both.
+        Most that meet so are unlike, so their sketches are compared where they meet: only plausible pairs move.
         """
         t = self.threshold
         sets = reps.join(crowded, "id", "left_semi").dropDuplicates(["id"]).select("id", "text").mapInArrow(_tokens(kind), "token long, id long, n long")
@@ -399,14 +416,21 @@ class NearDuplicates:
         place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("times", "token"))  # tokens of one set alone come first
         heads = shared.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * t - 1e-9) + 1)
         heads = heads.select("token", "id", "n", "place").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        words = [f"word{k}" for k in range(_bits(kind) // 64)]
         mixed = heads.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-        heads = materialize(heads.join(mixed, "token", "left_semi"), "crowd-heads")
-        a, b = (heads.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "place", "label")]) for x in "ab")
+        heads = materialize(heads.join(mixed, "token", "left_semi").join(crowded, "id"), "crowd-heads")
+        free_shuffles(heads.sparkSession)
+        a, b = (heads.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "place", "label", "slack", *words)]) for x in "ab")
         left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) + 1
         enough = (F.col("n_a") + F.col("n_b")) * (t / (1 + t)) - 1e-6
         near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * t - 1e-6
-        found = a.join(b, "token").where((F.col("id_a") < F.col("id_b")) & (F.col("label_a") != F.col("label_b")) & near & (left >= enough))
-        return materialize(found.select("id_a", "id_b").distinct().join(edges, ["id_a", "id_b"], "left_anti"), "crowd-edges")
+        marks = reduce(Column.__add__, [F.bit_count(F.col(f"{w}_a").bitwiseAND(F.col(f"{w}_b"))) for w in words])
+        plausible = F.least("slack_a", "slack_b") + marks >= enough
+        found = a.join(b, "token").where((F.col("id_a") < F.col("id_b")) & (F.col("label_a") != F.col("label_b")) & near & (left >= enough) & plausible)
+        found = materialize(found.select("id_a", "id_b").distinct().join(edges, ["id_a", "id_b"], "left_anti"), "crowd-edges")
+        for done in (sets, heads):
+            discard(done)
+        return found
 
     def _of_crowds(self, labels: DataFrame | None = None) -> list[tuple[DataFrame, DataFrame] | None]:
         """Per part the edges within crowded buckets that no star gave, and those of them that hold; None where no bucket is crowded."""

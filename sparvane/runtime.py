@@ -60,6 +60,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``materialize`` has written, once nothing reads it any more."""
+    jvm, conf = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for at in {name.rpartition("/")[0] for name in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(at))
+        path.getFileSystem(conf).delete(path, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of queries that have ended deleted now; else they stay until the driver happens to collect its garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this driver's intermediate tables; results that still read them end with them."""
     jvm = spark.sparkContext._jvm

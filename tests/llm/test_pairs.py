@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from sparvane.llm import cooccur, neardup
 
@@ -124,6 +125,21 @@ def test_crowded_buckets(spark, monkeypatch):
         assert {r["id"]: r["group_id"] for r in near.groups().collect()} == least
 
 
+def test_crowded_buckets_move_only_plausible_pairs(spark, monkeypatch):
+    """Names of one template share rare runs with many others by chance; what is gathered follows the pairs that are alike."""
+    monkeypatch.setattr(neardup, "FULL", 64)
+    rnd = random.Random(8)
+    rows = [(k, "weekly sales report for the " + "".join(rnd.choice("abc") for _ in range(12))) for k in range(1200)]
+    near = neardup.NearDuplicates([("f", spark.createDataFrame(rows, "id long, text string"), (3, True, 20))])
+    ((field, kind, _, reps, edges, crowded, _),) = near.parts
+    everyone = crowded.select("id", F.col("id").alias("label"))
+    gathered = near._crowd(reps, crowded, edges.limit(0), kind, everyone)
+    ids = {r["id"] for r in crowded.collect()}
+    want = brute([r for r in rows if r[0] in ids], kind)
+    got = {tuple(r) for r in gathered.collect()}
+    assert want <= got and len(got) <= 2 * len(want)
+
+
 def test_signatures_estimate():
     rnd = np.random.default_rng(1)
     for share in (0.5, 0.8):
